@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from shelfwise.plans import facts  # noqa: F401
+import importlib
+
 from shelfwise.plans.query import REGISTRY
 
+for _module in ("facts", "cleaning"):
+    importlib.import_module(f"shelfwise.plans.{_module}")
+
 
 def queries():
     return {name: q.frame for name, q in REGISTRY.items()}
