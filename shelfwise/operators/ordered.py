@@ -38,16 +38,18 @@ def running_totals(
 ) -> DataFrame:
     """Add inclusive running sums over `order`, within `group` when given.
 
-    `order` must be unique within the group; equal rows would be summed in any order.
+    Each sum `n` comes with the total of its group as `all_n`. `order` must be unique
+    within the group; equal rows would be summed in any order.
     """
     cut = sliced(df, [*[F.col(g) for g in group], *order])
     keys = [*group, _SLICE]
-    per_slice = cut.groupBy(*keys).agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
-    before = Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    per_slice = cut.groupBy(*keys).agg(*[F.sum(c).alias(f"_in_{n}") for n, c in sums.items()])
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slice.select(
-        *keys, *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}") for n in sums]
+        *keys,
+        *[F.coalesce(F.sum(f"_in_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in sums],
+        *[F.sum(f"_in_{n}").over(whole).alias(f"all_{n}") for n in sums],
     )
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -55,22 +57,22 @@ def running_totals(
     local = cut.select("*", *[F.sum(c).over(inside).alias(n) for n, c in sums.items()])
     return (
         join_on(local, offsets, keys)
-        .withColumns({n: F.col(n) + F.col(f"_{n}") for n in sums})
-        .drop(_SLICE, *[f"_{n}" for n in sums])
+        .withColumns({n: F.col(n) + F.col(f"_before_{n}") for n in sums})
+        .drop(_SLICE, *[f"_before_{n}" for n in sums])
     )
 
 
 def shared_totals(
     df: DataFrame, sums: Mapping[str, Column], value: str, descending: bool = True
 ) -> DataFrame:
-    """Running sums where rows of equal `value` share the total (a RANGE frame).
+    """Running sums, with their totals, where rows of equal `value` share the sum (a RANGE frame).
 
     Summed per distinct value first, so a value held by many rows stays one row.
     """
-    per_value = df.groupBy(value).agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    per_value = df.groupBy(value).agg(*[F.sum(c).alias(f"_at_{n}") for n, c in sums.items()])
     order = F.col(value).desc() if descending else F.col(value).asc()
-    totals = running_totals(per_value, {n: F.col(f"_{n}") for n in sums}, [order])
-    return join_on(df, totals.drop(*[f"_{n}" for n in sums]), [value])
+    totals = running_totals(per_value, {n: F.col(f"_at_{n}") for n in sums}, [order])
+    return join_on(df, totals.drop(*[f"_at_{n}" for n in sums]), [value])
 
 
 def with_rank(df: DataFrame, value: str, name: str, descending: bool = True) -> DataFrame:
@@ -97,8 +99,8 @@ def tile_of(position: Column, total: Column, tiles: int) -> Column:
 def with_tiles(df: DataFrame, name: str, tiles: int, order: Sequence[Column]) -> DataFrame:
     """NTILE(tiles) over the whole table. `order` must be unique."""
     placed = running_totals(df, {"_pos": F.lit(1).cast("bigint")}, order)
-    total = df.agg(F.count("*").alias("n")).scalar()
-    return placed.withColumn(name, tile_of(F.col("_pos"), total, tiles)).drop("_pos")
+    tile = tile_of(F.col("_pos"), F.col("all__pos"), tiles)
+    return placed.withColumn(name, tile).drop("_pos", "all__pos")
 
 
 def quantiles(
@@ -113,19 +115,14 @@ def quantiles(
         df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
     )
     placed = running_totals(counted, {"_upto": F.col("_n")}, [F.col(value).asc()], group)
-    sizes = placed.groupBy(*group).agg(F.sum("_n").alias("_all"))
-    if group:
-        sized = join_on(placed, sizes, list(group))
-    else:
-        sized = placed.withColumn("_all", sizes.scalar())
     picks = []
     for name, p in points.items():
-        at = p * (F.col("_all") - 1)
+        at = p * (F.col("all__upto") - 1)
         for side, k in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             here = (F.col("_upto") > k) & (F.col("_upto") - F.col("_n") <= k)
             picks.append(F.max(F.when(here, F.col(value))).alias(f"_{name}_{side}"))
         picks.append(F.max(at - F.floor(at)).alias(f"_{name}_part"))
-    found = sized.groupBy(*group).agg(*picks)
+    found = placed.groupBy(*group).agg(*picks)
     return found.select(
         *group,
         *[
