@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import dates, rules
 from shelfwise.functions.text import PROMO_PATTERNS, is_promo
 from shelfwise.operators.ordered import quantiles, running_totals, shared_totals, tile_of, with_tiles
-from shelfwise.session import day
+from shelfwise.session import day, pinned
 
 
 def abc_classify(
@@ -143,10 +143,22 @@ def flag_outliers(
     df: DataFrame, revenue: str = "doanh_thu", quantity: str = "so_luong",
     unit_profit: str = "loi_nhuan_sp", margin: str = "ty_suat_loi_nhuan",
 ) -> DataFrame:
-    """I8: revenue beyond 3 deviations, quantity outside 1.5 IQR, odd margins."""
-    quartiles = quantiles(df, quantity, {"q1": 0.25, "q3": 0.75}).agg(
+    """I8: revenue beyond 3 deviations, quantity outside 1.5 IQR, odd margins.
+
+    One pass reduces the lines to moments of revenue per distinct quantity; quartiles,
+    mean and deviation all come from that small table.
+    """
+    moments = pinned(df.groupBy(quantity).agg(
+        F.count("*").alias("rows"), F.count(revenue).alias("n"),
+        F.avg(revenue).alias("m"), F.var_pop(revenue).alias("v"),
+    ))
+    quartiles = quantiles(moments, quantity, {"q1": 0.25, "q3": 0.75}, weight="rows").agg(
         F.struct(F.max("q1").alias("q1"), F.max("q3").alias("q3"))
     ).scalar()
+    mean = moments.agg(F.sum(F.col("n") * F.col("m")) / F.sum("n")).scalar()
+    spread = moments.agg(F.sqrt(F.try_divide(
+        F.sum(F.col("n") * (F.col("v") + F.pow(F.col("m") - mean, 2.0))), F.sum("n") - 1
+    ))).scalar()
     q1, q3 = quartiles["q1"], quartiles["q3"]
     reach = (q3 - q1) * 1.5
     q = F.col(quantity)
@@ -154,7 +166,8 @@ def flag_outliers(
     def flag(c: Column) -> Column:
         return F.coalesce(c, F.lit(False))
 
-    return with_zscore(df, revenue, "revenue_zscore").withColumns({
+    scored = df.withColumn("revenue_zscore", F.abs(F.try_divide(F.col(revenue) - mean, spread)))
+    return scored.withColumns({
         "is_revenue_outlier": flag(F.col("revenue_zscore") > 3),
         "is_quantity_outlier": flag((q < q1 - reach) | (q > q3 + reach)),
         "is_margin_outlier": flag((F.col(unit_profit) < 0) | (F.col(margin) > 100)),
@@ -211,7 +224,10 @@ def seasonal_profile(lines: DataFrame) -> DataFrame:
 
 
 def enrich(lines: DataFrame) -> DataFrame:
-    """ABC class, season, outliers and branch rank attached to lines."""
+    """ABC class, season, outliers and branch rank attached to lines.
+
+    `lines` is read several times, so pass a written table rather than a long plan.
+    """
     revenue = lines.groupBy("ma_hang").agg(F.sum("doanh_thu").alias("revenue"))
     classed = abc_classify(revenue, "ma_hang", "revenue")
     classes = classed.select(

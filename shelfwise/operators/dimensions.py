@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.rules import bands, price_tier
 from shelfwise.operators.ordered import with_rank
-from shelfwise.session import day
+from shelfwise.session import day, pinned
 
 # Branch tier by revenue relative to the mean branch.
 TIERS = [(1.5, "Star"), (1.0, "Standard"), (0.5, "Developing")]
@@ -15,6 +15,7 @@ TIERS = [(1.5, "Star"), (1.0, "Standard"), (0.5, "Developing")]
 
 def ranked_branches(totals: DataFrame) -> DataFrame:
     """Revenue and profit ranks, and ratios to the mean branch."""
+    totals = pinned(totals)
     means = totals.agg(
         F.struct(F.avg("total_revenue").alias("r"), F.avg("total_profit").alias("p"))
     ).scalar()
@@ -91,19 +92,17 @@ def product_status(last_sale, as_of):
 
 
 def dim_product(
-    stg_products: DataFrame, variants: DataFrame, performance: DataFrame, abc: DataFrame,
-    as_of, price_cuts=(1_000_000, 500_000, 200_000),
+    stg_products: DataFrame, variants: DataFrame, performance: DataFrame, as_of,
+    price_cuts=(1_000_000, 500_000, 200_000),
 ) -> DataFrame:
-    """Catalog with variant, ABC class, totals, price tier and status."""
+    """Catalog with variant, totals, price tier, status and the ABC class of `performance`."""
     parsed = variants.select("product_code", "clean_name", "weight", "unit", "weight_normalized_g_or_ml")
     perf = performance.select(
-        "product_code", "total_revenue", "total_quantity_sold", "profit_margin", "last_sale_date"
+        "product_code", "total_revenue", "total_quantity_sold", "profit_margin", "last_sale_date", "abc_class"
     )
-    classes = abc.select("product_code", "abc_class")
     return (
         stg_products.join(parsed, "product_code", "left")
         .join(perf, "product_code", "left")
-        .join(classes, "product_code", "left")
         .select(
             "product_id", "product_code", "barcode", "product_name", "clean_name", "brand",
             "category_level_1", "category_level_2", "category_level_3",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import dates
 from shelfwise.functions.rules import ratio_or
 from shelfwise.functions.text import PROMO_PATTERNS, is_promo
-from shelfwise.session import day
+from shelfwise.session import day, pinned
 
 
 def last_days(df: DataFrame, as_of, days: int, column: str = "transaction_date") -> DataFrame:
@@ -432,11 +432,13 @@ def recent_weeks(facts: DataFrame, n: int = 2, column: str = "transaction_date")
 def last_week_sales(facts: DataFrame) -> DataFrame:
     """Units per product in the last but one week that has sales (the only one if single)."""
     d = F.col("transaction_date")
-    week = F.year(d) * 100 + dates.week_monday(d)
-    two = recent_weeks(facts).agg(F.min(F.col("year") * 100 + F.col("week")).alias("w")).scalar()
-    return facts.filter(week == two).groupBy("product_code").agg(
-        F.sum("quantity_sold").alias("last_week_sales")
+    weekly = pinned(
+        facts.groupBy("product_code", (F.year(d) * 100 + dates.week_monday(d)).alias("week"))
+        .agg(F.sum("quantity_sold").alias("last_week_sales"))
     )
+    latest = weekly.select("week").distinct().orderBy(F.desc("week")).limit(2)
+    chosen = latest.agg(F.min("week").alias("w")).scalar()
+    return weekly.filter(F.col("week") == chosen).drop("week")
 
 
 def last_seven_days_sales(facts: DataFrame) -> DataFrame:

@@ -69,6 +69,7 @@ def shared_totals(
 
     Summed per distinct value first, so a value held by many rows stays one row.
     """
+    df = pinned(df)
     per_value = df.groupBy(value).agg(*[F.sum(c).alias(f"_at_{n}") for n, c in sums.items()])
     order = F.col(value).desc() if descending else F.col(value).asc()
     totals = running_totals(per_value, {n: F.col(f"_at_{n}") for n in sums}, [order])
@@ -77,6 +78,7 @@ def shared_totals(
 
 def with_rank(df: DataFrame, value: str, name: str, descending: bool = True) -> DataFrame:
     """RANK() over the whole table: one more than the number of rows ahead."""
+    df = pinned(df)
     per_value = df.groupBy(value).agg(F.count("*").alias("_n"))
     order = F.col(value).desc() if descending else F.col(value).asc()
     ahead = running_totals(per_value, {"_upto": F.col("_n")}, [order]).select(
@@ -104,16 +106,16 @@ def with_tiles(df: DataFrame, name: str, tiles: int, order: Sequence[Column]) ->
 
 
 def quantiles(
-    df: DataFrame, value: str, points: Mapping[str, float], group: Sequence[str] = ()
+    df: DataFrame, value: str, points: Mapping[str, float], group: Sequence[str] = (),
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles, one row per group.
 
     Works on counts per distinct value, so neither a large group nor the whole table
-    has to fit in one buffer.
+    has to fit in one buffer. With `weight`, a row stands for that many equal values.
     """
-    counted = (
-        df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
-    )
+    n = F.sum(weight) if weight else F.count("*")
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(n.alias("_n"))
     placed = running_totals(counted, {"_upto": F.col("_n")}, [F.col(value).asc()], group)
     picks = []
     for name, p in points.items():

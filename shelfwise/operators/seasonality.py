@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import dates
 from shelfwise.operators.facts import last_days
-from shelfwise.session import day
+from shelfwise.session import day, pinned
 
 
 def peak_windows(peaks: DataFrame, as_of, days: int = 365) -> DataFrame:
@@ -42,9 +42,9 @@ def sales_in_peaks(facts: DataFrame, windows: DataFrame) -> DataFrame:
     return facts.join(F.broadcast(peak_dates(windows)), "transaction_date")
 
 
-def _per_day(facts: DataFrame) -> DataFrame:
-    """Sums per day: all that means over fact rows need, in as many rows as days."""
-    return facts.groupBy("transaction_date").agg(
+def per_day(facts: DataFrame, as_of, days: int = 365) -> DataFrame:
+    """Sums per day of the look-back: all that means over fact rows need, at most `days` + 1 rows."""
+    return last_days(facts, as_of, days).groupBy("transaction_date").agg(
         F.sum("gross_revenue").alias("revenue"), F.sum("quantity_sold").alias("quantity"),
         F.count("*").alias("rows"),
     )
@@ -58,23 +58,22 @@ def _means():
     ]
 
 
-def seasonal_baseline(facts: DataFrame, as_of, days: int = 365) -> DataFrame:
-    """Mean revenue and quantity by month and day type."""
+def seasonal_baseline(daily: DataFrame) -> DataFrame:
+    """Mean revenue and quantity of fact rows by month and day type, from `per_day`."""
     d = F.col("transaction_date")
     return (
-        _per_day(last_days(facts, as_of, days))
-        .groupBy(F.month(d).alias("month"), dates.day_type(d).alias("day_type"))
+        daily.groupBy(F.month(d).alias("month"), dates.day_type(d).alias("day_type"))
         .agg(*_means())
         .withColumnsRenamed({"mean_revenue": "avg_daily_revenue", "mean_quantity": "avg_daily_quantity"})
     )
 
 
-def peak_actuals(facts: DataFrame, windows: DataFrame, as_of, days: int = 365) -> DataFrame:
+def peak_actuals(daily: DataFrame, windows: DataFrame) -> DataFrame:
     """The same means inside peak windows, with the more frequent day type.
 
     Day types are counted in fact rows; a tie goes to the name that sorts first.
     """
-    inside = sales_in_peaks(_per_day(last_days(facts, as_of, days)), windows)
+    inside = sales_in_peaks(daily, windows)
     weekend = F.when(dates.is_weekend(F.col("transaction_date")), F.col("rows")).otherwise(0)
     return (
         inside.groupBy(F.month("transaction_date").alias("month"), "peak_reason", "peak_level", "impact_days")
@@ -101,8 +100,9 @@ def _factor(*pairs):
 
 def seasonal_factors(facts: DataFrame, peaks: DataFrame, as_of, days: int = 365) -> DataFrame:
     """Factors of peak means over the baseline of month and day type."""
-    base = seasonal_baseline(facts, as_of, days).drop("num_days")
-    actual = peak_actuals(facts, peak_windows(peaks, as_of, days), as_of, days)
+    daily = pinned(per_day(facts, as_of, days))
+    base = seasonal_baseline(daily).drop("num_days")
+    actual = peak_actuals(daily, peak_windows(peaks, as_of, days))
     revenue = ("actual_avg_revenue", "avg_daily_revenue")
     quantity = ("actual_avg_quantity", "avg_daily_quantity")
     same = [F.col("month") == F.col("b_month"), F.col("dominant_day_type") == F.col("day_type")]

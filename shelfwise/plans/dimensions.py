@@ -8,6 +8,7 @@ from shelfwise.functions import dates, rules, text
 from shelfwise.operators import calendar, classify, dimensions, facts, staging
 from shelfwise.plans.facts import WEEK
 from shelfwise.plans.query import PROMO, query
+from shelfwise.session import scratch_path
 from shelfwise.sources import reference
 
 PRICE_CUTS = (980, 950, 920)
@@ -358,32 +359,34 @@ def abc_summary(s):
     return classify.abc_summary(_abc(s), "total_revenue")
 
 
-DIM_PRODUCT = """perf AS (
-      SELECT ma_hang, sum(so_luong * don_gia) AS r, sum(so_luong) AS q,
+DIM_PRODUCT = """sold AS (
+      SELECT ma_hang, round(sum(so_luong * don_gia), 2) AS r, sum(so_luong) AS q,
              sum(so_luong * don_gia - von) / sum(so_luong * don_gia) AS m, max(ngay) AS last
       FROM lines GROUP BY 1),
+    perf AS (
+      SELECT *, CASE WHEN c <= 0.8 THEN 'A' WHEN c <= 0.95 THEN 'B' ELSE 'C' END AS abc_class
+      FROM (SELECT *, round(sum(r) OVER (ORDER BY r DESC) / sum(r) OVER (), 9) AS c FROM sold)),
     dim AS (
       SELECT p.ma_hang AS product_code, p.id AS product_id, p.ten_hang AS product_name, p.thuong_hieu AS brand, p.cap_1 AS category_level_1,
              CASE WHEN gia_ban_mac_dinh >= 980 THEN 'Premium' WHEN gia_ban_mac_dinh >= 950 THEN 'Mid-range'
                   WHEN gia_ban_mac_dinh >= 920 THEN 'Economy' ELSE 'Budget' END AS price_tier,
-             coalesce(c.abc_class, 'N/A') AS abc_class, coalesce(r, 0) AS total_historical_revenue,
+             coalesce(abc_class, 'N/A') AS abc_class, coalesce(r, 0) AS total_historical_revenue,
              coalesce(q, 0) AS total_historical_quantity, coalesce(m, 0) AS historical_profit_margin,
              CASE WHEN last IS NULL THEN 'New' WHEN last >= (SELECT d - 30 FROM newest) THEN 'Active'
                   WHEN last >= (SELECT d - 90 FROM newest) THEN 'Slow Moving' ELSE 'Inactive' END AS product_status
-      FROM products p LEFT JOIN perf USING (ma_hang) LEFT JOIN classed c ON c.product_code = p.ma_hang)"""
+      FROM products p LEFT JOIN perf USING (ma_hang))"""
 
 
 def product_dimension(s):
     stg = staging.stg_products(s.products)
     performance = facts.product_performance(s.transactions, s.details, s.products)
-    return dimensions.dim_product(
-        stg, staging.stg_product_variant(stg), performance, _abc(s), s.as_of, PRICE_CUTS
-    )
+    classed = classify.abc_classify(performance, "product_code", "total_revenue", frame="range")
+    return dimensions.dim_product(stg, staging.stg_product_variant(stg), classed, s.as_of, PRICE_CUTS)
 
 
 @query(
-    "I1_dim_product", "I1 I5",
-    f"{ABC}, {DIM_PRODUCT}, answer AS (SELECT * FROM dim)",
+    "I1_dim_product", "I1",
+    f"{DIM_PRODUCT}, answer AS (SELECT * FROM dim)",
     two="total_historical_revenue total_historical_quantity", four="historical_profit_margin",
 )
 def dim_product(s):
@@ -417,7 +420,7 @@ def apply_abc(s):
 
 @query(
     "F2_top_products", "F2 F1",
-    f"""{ABC}, {DIM_PRODUCT}, answer AS (
+    f"""{DIM_PRODUCT}, answer AS (
       SELECT product_code, abc_class, total_historical_revenue FROM dim
       WHERE total_historical_revenue > 0 AND category_level_1 NOT LIKE '%PROMO%'
       ORDER BY total_historical_revenue DESC, product_code LIMIT 50)""",
@@ -607,7 +610,10 @@ def seasonal_profile(s):
       UNION ALL SELECT 'outlier', 'margin_outlier', count(*) FROM flagged WHERE is_margin_outlier HAVING count(*) > 0)""",
 )
 def enrich_stats(s):
-    return classify.run_stats(classify.enrich(rule_lines(s)))
+    """The lines are written once and then read by each rule."""
+    path = scratch_path(s.spark, "rule-lines")
+    rule_lines(s).write.parquet(path)
+    return classify.run_stats(classify.enrich(s.spark.read.parquet(path)))
 
 
 @query(
