@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.operators.ordered import first_per_key
+from shelfwise.operators.ordered import first_per_key, join_on
 
 
 def upsert(
@@ -46,8 +46,8 @@ def upsert(
 def insert_new(
     target: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()
 ) -> DataFrame:
-    """Rows whose key the target lacks are added, once per key."""
-    fresh = first_per_key(rows, keys, order).join(target.select(*keys), list(keys), "left_anti")
+    """Rows whose key the target lacks are added, once per key; null keys equal null."""
+    fresh = join_on(first_per_key(rows, keys, order), target.select(*keys), keys, "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
 

@@ -6,7 +6,7 @@ import importlib
 
 from shelfwise.plans.query import REGISTRY
 
-for _module in ("facts", "cleaning", "dimensions", "stock", "forecasting"):
+for _module in ("facts", "cleaning", "dimensions", "stock", "forecasting", "streams"):
     importlib.import_module(f"shelfwise.plans.{_module}")
 
 

@@ -30,15 +30,17 @@ class Query:
 
     def frame(self, spark, folder: str) -> DataFrame:
         df = self.run(Sources(spark, folder))
-        rounded = {c: F.round(F.col(c), 2) for c in self.two}
-        rounded |= {c: F.round(F.col(c) + OFF_TIE, 4) for c in self.four}
+        rounded = {c: F.rint(F.col(c) * 100.0) / 100.0 for c in self.two}
+        rounded |= {c: F.rint((F.col(c) + OFF_TIE) * 10000.0) / 10000.0 for c in self.four}
         return df.withColumns(rounded) if rounded else df
 
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
-        swaps = [f"round({c}, 2) AS {c}" for c in self.two]
-        swaps += [f"round({c} + {OFF_TIE:.7f}, 4) AS {c}" for c in self.four]
+        swaps = [f"round(CAST({c} AS DOUBLE) * 100) / 100 AS {c}" for c in self.two]
+        swaps += [
+            f"round((CAST({c} AS DOUBLE) + CAST({OFF_TIE:.7f} AS DOUBLE)) * 10000) / 10000 AS {c}" for c in self.four
+        ]
         tail = f" REPLACE ({', '.join(swaps)})" if swaps else ""
         return f"WITH {BASE}, {self.sql.strip()}\nSELECT *{tail} FROM answer"
 
