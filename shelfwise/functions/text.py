@@ -74,7 +74,12 @@ def pack_unit(name: Column) -> Column:
     return F.regexp_extract(F.lower(name), _SIZE, 2)
 
 
-_SIZE = r"(\d+(?:\.\d+)?)\s*(kg|ml|g|l)(?![a-z])"
+_SIZE = r"(\d+(?:\.\d+)?)\s*(kg|ml|g|l)(?!\p{L})"
+
+
+def pack_label(name: Column) -> Column:
+    """The size as `500g`, '' when there is none."""
+    return F.concat(F.regexp_extract(F.lower(name), _SIZE, 1), pack_unit(name))
 
 
 def pack_size_base(name: Column) -> Column:

@@ -89,14 +89,13 @@ def dynamic_percentiles(df: DataFrame, columns: Sequence[str], points: Sequence[
     for c in columns:
         counts = pinned(df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n")))
         mean = counts.agg(F.try_divide(F.sum(F.col(c) * F.col("n")), F.sum("n"))).scalar()
-        moments = counts.agg(
-            F.lit(c).alias("column_name"),
+        moments = counts.agg(F.struct(
             F.max(mean).alias("mean"),
             F.sqrt(F.try_divide(F.sum(F.col("n") * F.pow(F.col(c) - mean, 2.0)), F.sum("n") - 1)).alias("std"),
             F.max(c).cast("double").alias("max"),
-        )
-        row = quantiles(counts, c, named, weight="n").withColumn("column_name", F.lit(c)).join(
-            F.broadcast(moments), "column_name"  # one row
+        )).scalar()
+        row = quantiles(counts, c, named, weight="n").select(
+            F.lit(c).alias("column_name"), *named, *[moments[k].alias(k) for k in ("mean", "std", "max")]
         )
         out = row if out is None else out.unionByName(row)
     return out

@@ -77,6 +77,7 @@ def sales_with_products(sales: DataFrame, products: DataFrame, sale_id: str) ->
         F.col("ma_vach").alias("p_vach"), F.col("ma_hang").alias("p_hang"),
         F.col("thuong_hieu").alias("product_brand"),
         *[F.col(f"cap_{i}").alias(f"product_cat{i}") for i in (1, 2, 3)],
+        F.lit(True).alias("_hit"),
     )
     keys = sales.select(sale_id, "ma_vach", "ma_hang")
     by_code = keys.join(known, F.col("ma_hang") == F.col("p_hang"))
@@ -87,8 +88,9 @@ def sales_with_products(sales: DataFrame, products: DataFrame, sale_id: str) ->
     matched = by_code.unionByName(by_barcode).select(sale_id, *found)
     return (
         sales.join(matched, sale_id, "left")
-        .withColumn("co_trong_products", F.col("p_hang").isNotNull())
+        .withColumn("co_trong_products", F.col("_hit").isNotNull())
         .withColumnRenamed("p_hang", "product_code")
+        .drop("_hit")
     )
 
 

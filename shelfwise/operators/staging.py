@@ -138,10 +138,7 @@ def stg_product_variant(stg: DataFrame) -> DataFrame:
         "product_id",
         "product_code",
         name.alias("clean_name"),
-        F.when(text.pack_unit(name) != "", F.concat(
-            F.regexp_extract(F.lower(name), r"(\d+(?:\.\d+)?)\s*(kg|ml|g|l)(?![a-z])", 1),
-            text.pack_unit(name),
-        )).otherwise("").alias("weight"),
+        text.pack_label(name).alias("weight"),
         text.pack_unit(name).alias("unit"),
         text.pack_size_base(name).alias("weight_normalized_g_or_ml"),
         text.family_name(name).alias("product_family"),
