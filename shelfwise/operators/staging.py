@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import dates, text
 from shelfwise.functions.rules import ratio_or
+from shelfwise.operators.facts import last_days
 
 
 def stg_products(products: DataFrame) -> DataFrame:
@@ -51,8 +52,18 @@ def receipt_totals(details: DataFrame, products: DataFrame) -> DataFrame:
 MONEY = ("gross_amount", "discount_amount", "revenue", "total_cost")
 
 
-def stg_transactions(transactions: DataFrame, details: DataFrame, products: DataFrame) -> DataFrame:
-    """Receipts with their money; a receipt without lines has zeros."""
+def stg_transactions(
+    transactions: DataFrame, details: DataFrame, products: DataFrame, as_of=None, days: int = 0
+) -> DataFrame:
+    """Receipts with their money; a receipt without lines has zeros.
+
+    With `days`, only receipts of that look-back, and lines of other receipts are dropped
+    before anything is summed.
+    """
+    if days:
+        transactions = last_days(transactions, as_of, days, "ngay")
+        wanted = transactions.select(F.col("id").alias("transaction_id"))
+        details = details.join(wanted, "transaction_id", "left_semi")
     money = receipt_totals(details, products)
     joined = transactions.join(money, F.col("id") == F.col("transaction_id"), "left")
     zeroed = [F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in MONEY]

@@ -41,8 +41,8 @@ RECEIPTS = """receipts AS (
                sum(von) AS c, count(*) AS n FROM lines GROUP BY 1) m ON t.id = m.transaction_id)"""
 
 
-def _receipts(s):
-    return staging.stg_transactions(s.transactions, s.details, s.products)
+def _receipts(s, days: int = 0):
+    return staging.stg_transactions(s.transactions, s.details, s.products, s.as_of if days else None, days)
 
 
 @query(
@@ -474,12 +474,12 @@ def _rfm_sql(key: str) -> str:
 @query("I6_rfm_branches", "I6 D13 E5", _rfm_sql("branch_code"), two="monetary total_profit", four="avg_order_value")
 def rfm_branches(s):
     """Branches stand for customers, as in the warehouse model."""
-    return classify.rfm(classify.rfm_base(_receipts(s), s.as_of))
+    return classify.rfm(classify.rfm_base(_receipts(s, 365), s.as_of))
 
 
 @query("I6_rfm_customers", "I6 D13 E5", _rfm_sql("ma_khach"), two="monetary total_profit", four="avg_order_value")
 def rfm_customers(s):
-    return classify.rfm(classify.rfm_base(_receipts(s), s.as_of, "ma_khach"))
+    return classify.rfm(classify.rfm_base(_receipts(s, 365), s.as_of, "ma_khach"))
 
 
 @query(

@@ -9,6 +9,7 @@ from shelfwise.operators import facts, inventory, quality, seasonality, staging
 from shelfwise.plans.dimensions import RECEIPTS
 from shelfwise.plans.facts import WEEK
 from shelfwise.plans.query import PROMO, query
+from shelfwise.session import pinned
 from shelfwise.sources import reference
 
 
@@ -356,7 +357,8 @@ class Orders:
 
     def __init__(self, s):
         self.s = s
-        self.recent = regular(s, 28)
+        # Read by several rules, so fixed once.
+        self.recent = pinned(regular(s, 28))
 
     @property
     def forecasts(self):

@@ -58,14 +58,23 @@ def earlier_batches(spark: SparkSession, path: str, batch: int) -> DataFrame | N
         return None
 
 
-def insert_batch(path: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """L2: write the rows of a batch whose key is new, once per key; null keys equal null."""
+def insert_batch(path: str, keys: Sequence[str], time: str | None = None) -> Callable[[DataFrame, int], None]:
+    """L2: write the rows of a batch whose key is new, once per key; null keys equal null.
+
+    With `time`, one of the keys, only stored rows within the batch's time range are read.
+    """
     def handle(rows: DataFrame, batch: int) -> None:
-        fresh = first_per_key(rows, keys, [])
+        fresh = first_per_key(rows, keys, []).persist()
         known = earlier_batches(rows.sparkSession, path, batch)
         if known is not None:
-            fresh = join_on(fresh, known.select(*keys), keys, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+            if time:
+                low, high = fresh.agg(F.min(time), F.max(time)).first()
+                known = known.filter(F.col(time).isNull() | F.col(time).between(F.lit(low), F.lit(high)))
+            new = join_on(fresh, known.select(*keys), keys, "left_anti")
+        else:
+            new = fresh
+        new.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        fresh.unpersist()
 
     return handle
 
@@ -76,7 +85,7 @@ def ingest_sales(
 ) -> StreamingQuery:
     """L1, L2: raw sales files cleaned and inserted once, file by file or many at a time."""
     raw = drop_folder(spark, folder, archive, files_per_batch=files_per_batch, pattern=pattern)
-    insert = insert_batch(target, clean.LINE_KEY)
+    insert = insert_batch(target, clean.LINE_KEY, "thoi_gian")
 
     def handle(rows: DataFrame, batch: int) -> None:
         insert(clean.clean_sales(rename(rows, SALES_NAMES), sep), batch)

@@ -68,7 +68,7 @@ def test_streamed_totals_equal_batch(spark, tmp_path):
     out = str(tmp_path / "memory")
     stream = ingest.drop_folder(spark, path, schema=df.schema, fmt="parquet", files_per_batch=1)
     keys = ("chi_nhanh", "nhom_hang_cap_1", "nhom_hang_cap_2")
-    totals = ingest.daily_totals_stream(stream, "at", keys)
+    totals = ingest.daily_totals_stream(stream, "at", keys, "10 days")
     latest = {}
 
     def keep(rows, batch):
@@ -90,7 +90,7 @@ def test_stream_drops_duplicates(spark, tmp_path):
     df.write.mode("append").parquet(path)
     stream = ingest.drop_folder(spark, path, schema=df.schema, fmt="parquet")
     seen = []
-    unique = ingest.dedupe_stream(stream, "at", ["id"])
+    unique = ingest.dedupe_stream(stream, "at", ["id"], "10 days")
     ingest.drain(unique, str(tmp_path / "s"), lambda rows, batch: seen.extend(r.id for r in rows.collect())).awaitTermination()
     assert sorted(seen) == list(range(12))
 
