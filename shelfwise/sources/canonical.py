@@ -6,11 +6,16 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfwise.session import latest_day, tune
 from shelfwise.sources.reference import STORE_TYPES
 
 
+# Schemas seen so far: reading a footer costs a job, so each file's is read once.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Sources:
     """Lazy canonical tables of one data folder."""
 
@@ -22,7 +27,13 @@ class Sources:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        reader = self.spark.read
+        if path in _SCHEMAS:
+            return reader.schema(_SCHEMAS[path]).parquet(path)
+        df = reader.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
 
     @cached_property
     def branches(self) -> DataFrame:
