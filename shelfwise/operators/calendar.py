@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import dates
+from shelfwise.session import pinned
 
 
 def date_spine(bounds: DataFrame, name: str = "date_day") -> DataFrame:
@@ -65,6 +66,6 @@ def with_calendar(df: DataFrame, column: str = "ngay") -> DataFrame:
 
 def missing_dates(df: DataFrame, column: str) -> DataFrame:
     """Days between the first and last date that have no row."""
-    spine = date_spine(bounds_of(df, column), "missing_date")
-    seen = df.select(F.col(column).alias("missing_date")).distinct()
+    seen = pinned(df.select(F.col(column).alias("missing_date")).distinct())
+    spine = date_spine(bounds_of(seen, "missing_date"), "missing_date")
     return spine.join(seen, "missing_date", "left_anti")

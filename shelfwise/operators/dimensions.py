@@ -53,10 +53,7 @@ def dim_branch(stg_branches: DataFrame, performance: DataFrame) -> DataFrame:
 
 
 def dim_store(stg_branches: DataFrame, store_types: DataFrame) -> DataFrame:
-    """Stores with type, peer group and an id numbered within the type.
-
-    The store-type table has five rows, so it is broadcast.
-    """
+    """Stores with type, peer group and an id numbered within the type."""
     number = F.row_number().over(Window.partitionBy("branch_type").orderBy("branch_id"))
     kind = store_types.select(
         F.col("type_code").alias("branch_type"),
@@ -68,7 +65,7 @@ def dim_store(stg_branches: DataFrame, store_types: DataFrame) -> DataFrame:
     padded = F.lpad(number.cast("string"), 3, "0")
     return (
         stg_branches.withColumn("store_id", F.concat("branch_type", F.lit("_"), padded))
-        .join(F.broadcast(kind), "branch_type", "left")
+        .join(kind, "branch_type", "left")
         .select(
             "store_id", F.col("branch_type").alias("store_type_code"), "store_type_name",
             "peer_group", "store_type_description", "typical_area_m2", "target_customer",

@@ -68,6 +68,7 @@ def top_errors(pairs: DataFrame, n: int = 10) -> DataFrame:
 
 def actual_baseline(actual: DataFrame) -> DataFrame:
     """What is known without old forecasts."""
+    actual = pinned(actual)
     per_day = actual.groupBy("transaction_date").agg(F.sum("actual_quantity").alias("q"))
     spread = per_day.agg(F.struct(F.avg("q").alias("m"), F.stddev_samp("q").alias("s"))).scalar()
     return actual.agg(
@@ -212,14 +213,16 @@ def cold_start_forecast(
 ) -> DataFrame:
     """Category median (capped for uniform series) times the month factor.
 
-    `medians` has a row per category, `factors` at most twelve rows; the latter is broadcast.
+    `medians` has a row per category. Factors are reduced to twelve months and broadcast.
     """
     base = F.coalesce("median", F.lit(default))
     level = F.when(F.col("reason") == "uniform", F.least(base, F.lit(uniform_cap))).otherwise(base)
     known = cold.filter("is_cold_start").join(
         medians.select("nhom_hang_cap_1", "median"), "nhom_hang_cap_1", "left"
     ).withColumn("level", level)
-    month = factors.select(F.col("month").alias("_month"), F.col("seasonal_factor").alias("_factor"))
+    month = factors.filter(F.col("month").between(1, 12)).groupBy(F.col("month").alias("_month")).agg(
+        F.max("seasonal_factor").alias("_factor")
+    )
     ahead = horizon(known, as_of, days).join(
         F.broadcast(month), F.month("forecast_date") == F.col("_month"), "left"
     )

@@ -134,13 +134,13 @@ def latest_factors(factors: DataFrame, time: str | None = None) -> DataFrame:
 def with_seasonal(df: DataFrame, factors: DataFrame, column: str = "ngay") -> DataFrame:
     """H7: month factors attached, 0 and 1.0 where a month has none.
 
-    `factors` has at most twelve rows, so it is broadcast.
+    Reduced to one row for each of the twelve months, so the factors are broadcast.
     """
     defaults = {
         "is_peak_day": 0, "peak_reason": "", "peak_level": 0,
         "seasonal_factor": 1.0, "revenue_factor": 1.0, "quantity_factor": 1.0,
     }
-    named = factors.withColumnRenamed("month", "_month")
+    named = latest_factors(factors.filter(F.col("month").between(1, 12))).withColumnRenamed("month", "_month")
     return (
         df.join(F.broadcast(named), F.month(column) == F.col("_month"), "left")
         .drop("_month")

@@ -561,7 +561,7 @@ def report(s):
     """The report tables of the naive forecasts, one value per line."""
     orders = Orders(s)
     tables = forecast.report(
-        orders.forecasts, _category_forecast(s), inventory.recommendations(orders.summary, orders.safety)
+        pinned(orders.forecasts), pinned(_category_forecast(s)), inventory.recommendations(orders.summary, orders.safety)
     )
     lines = {
         "totals": (F.lit(""), F.col("total_quantity")),

@@ -30,6 +30,18 @@ def test_running_totals_and_positions(spark, rows):
     assert {r.all_run for r in got} == {total} and {r.all_pos for r in got} == {500}
 
 
+def test_a_hot_value_is_spread_over_slices(spark):
+    """A third of the rows share one value; the unique order still splits them."""
+    df = spark.range(30000).select(
+        F.col("id").cast("string").alias("k"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("v")
+    )
+    cut = ordered.sliced(df, [F.col("v").desc(), F.col("k").asc()])
+    sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 30000 and len(sizes) > 1 and max(sizes) < 0.45 * 30000
+    hot = cut.filter("v = 7").select("_slice").distinct().count()
+    assert hot > 1
+
+
 def test_running_totals_per_group_with_null_group(spark):
     df = spark.createDataFrame([("x", 1), ("x", 2), (None, 5), (None, 7)], "g string, v int")
     got = ordered.running_totals(df, {"run": F.col("v")}, [F.col("v").asc()], ["g"]).collect()
