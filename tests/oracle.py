@@ -84,7 +84,7 @@ def main(folder: str, wanted: list[str]) -> int:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", os.environ.get("COALESCE", "true")).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

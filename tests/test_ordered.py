@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from shelfwise.operators import classify, ordered
 
 
+@pytest.fixture(scope="module", autouse=True)
+def many_slices(spark):
+    """Small test tables would be merged into one slice; keep them apart."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
 @pytest.fixture(scope="module")
 def rows():
     pick = random.Random(5)
