@@ -237,12 +237,13 @@ def conversion_ratio(s):
 
 @query(
     "B4_clean_keys", "B4",
-    f"{_RAW}, answer AS (SELECT ma_giao_dich, thoi_gian, ma_hang FROM raw WHERE thoi_gian IS NOT NULL)",
+    f"""{_RAW}, answer AS (
+      SELECT ma_giao_dich, strftime(thoi_gian, '%Y-%m-%d %H:%M:%S') AS thoi_gian, ma_hang FROM raw WHERE thoi_gian IS NOT NULL)""",
 )
 def clean_keys(s):
     lines = files.rename(raw_sales(s), SALES_NAMES)
     return clean.clean_keys(lines, "ma_giao_dich", "thoi_gian_raw").select(
-        "ma_giao_dich", F.col("thoi_gian_raw").alias("thoi_gian"), "ma_hang"
+        "ma_giao_dich", F.date_format("thoi_gian_raw", "yyyy-MM-dd HH:mm:ss").alias("thoi_gian"), "ma_hang"
     )
 
 
