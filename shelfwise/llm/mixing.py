@@ -6,10 +6,10 @@ target / source size. The whole part is taken for certain; the fraction is the d
 inclusion probability. The flight phase of the cube method moves these probabilities
 through the null space of two constraints of each source, document total and word total,
 until a small landing problem is left of a group: first inside each input partition, then
-among what is left in hashed groups of a source, then by source. Large documents enter
-first, so what lands is small. The landing tries all roundings of the last documents of a
-source and takes the one whose word total is nearest its target, the document total being
-right within one.
+among what is left in hashed groups of a source, then by source. A few documents of all
+sizes stay out of the flight; the landing tries all roundings of these and of the last two
+of a source and takes the one whose word total is nearest its target, the document total
+being right within one.
 
 Choices are drawn from a hash of the document, so reruns agree. Nothing but one row per
 source is ever in one place; what is left after each flight is at most 14 rows a group.
@@ -35,8 +35,8 @@ from shelfwise.llm.common import WORD, stored, text_of, with_row
 EPS = 1e-9
 #: Groups of a source in the second flight.
 GROUPS = 64
-#: The smallest documents of a group that stay out of its flight and land together with
-#: the two that a flight leaves.
+#: Documents of a group, evenly spread over the order of sizes, that stay out of its flight
+#: and land together with the two that a flight leaves.
 LANDING = 12
 
 
@@ -88,7 +88,7 @@ def fly(chance: np.ndarray, size: np.ndarray, draw: np.ndarray) -> np.ndarray:
     order = np.lexsort((draw, -size))
     order = order[(p[order] > EPS) & (p[order] < 1 - EPS)]
     held: list[int] = []
-    for i in order[:max(0, len(order) - LANDING)]:
+    for i in np.delete(order, np.linspace(0, len(order) - 1, LANDING).astype(int) if len(order) > LANDING else slice(None)):
         held.append(int(i))
         if len(held) < 3:
             continue
