@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, mixing, packing
-from shelfwise.llm.common import read
+from shelfwise.llm import bpe, htmltext, langid, mixing, packing, warc
+from shelfwise.llm.common import read, shared_folder
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -22,6 +24,34 @@ def op3_source_mix(spark, folder):
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op5_language_id(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = langid.fold("doc_id") == 0
+    model = langid.fit(docs.filter(~held_out))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op6_main_text(spark, folder):
+    pages = read(spark, folder, "pages").select("page_id", "url", "html")
+    weights = htmltext.fit(htmltext.labelled_sample(pages))
+    return htmltext.extract(pages, weights).select("page_id", "url", "text", "n_chars")
+
+
+def op8_warc_captures(spark, folder):
+    path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(read(spark, folder, "pages").select("page_id", "url", "html"), path, least_bytes=0)
+    captures = warc.page_ids(warc.assemble(warc.records(spark, path)))
+    responses = captures.filter("type = 'response'").select(
+        F.col("capture_id").alias("of"), F.col("page_id").alias("refers_to"))
+    facts = captures.select(
+        "page_id", F.col("http_length").alias("payload_bytes"),
+        F.when(F.col("type") == "response", warc.base32_sha1(F.col("payload")))
+        .otherwise(F.regexp_replace("payload_digest", "^sha1:", "")).alias("payload_digest"),
+        F.col("type").alias("record_type"), F.col("refers_to").alias("_of"))
+    return facts.join(responses, F.col("_of") == F.col("of"), "left").drop("_of", "of")
+
+
 def op9_packing(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text")
     pieces = packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), packing.Limits(), separator=0)
@@ -30,6 +60,7 @@ def op9_packing(spark, folder):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_source_mix, op9_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op3_source_mix, op5_language_id, op6_main_text, op8_warc_captures, op9_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
