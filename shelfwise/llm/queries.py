@@ -7,8 +7,8 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, htmltext, langid, mixing, packing, warc
-from shelfwise.llm.common import read, shared_folder
+from shelfwise.llm import bpe, htmltext, langid, mixing, neardup, packing, simhash, warc
+from shelfwise.llm.common import read, shared_folder, stored
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -19,11 +19,27 @@ def op1_token_counts(spark, folder):
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op2_near_duplicates(spark, folder):
+    found = neardup.near_duplicates(read(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op3_source_mix(spark, folder):
     mixed = mixing.mix(read(spark, folder, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op4_fingerprints(spark, folder):
+    """`n_near`: for ids divisible by 20, how many other fingerprints of the table lie
+    within 3 bits of the document's; null for other ids."""
+    found = stored(simhash.edited_fingerprints(read(spark, folder, "documents").select("doc_id", "text")), "fingerprints")
+    asked = F.col("doc_id") % 20 == 0
+    pairs = simhash.near(found.filter(asked), found, radius=3, blocks=5)
+    counts = pairs.groupBy("query").agg((F.count("*") - 1).alias("n_near"))
+    rows = found.join(counts, found["fingerprint"] == counts["query"], "left")
+    return simhash.digest(rows, F.when(asked, F.col("n_near")).alias("n_near"))
+
+
 def op5_language_id(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = langid.fold("doc_id") == 0
@@ -61,6 +77,6 @@ def op9_packing(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op3_source_mix, op5_language_id, op6_main_text, op8_warc_captures, op9_packing)}
+    op1_token_counts, op2_near_duplicates, op3_source_mix, op4_fingerprints, op5_language_id, op6_main_text, op8_warc_captures, op9_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
