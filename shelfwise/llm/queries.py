@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, htmltext, langid, mixing, neardup, packing, simhash, warc
+from shelfwise.llm import bpe, htmltext, langid, mixing, neardup, packing, simhash, suffixdedup, warc
 from shelfwise.llm.common import read, shared_folder, stored
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -76,7 +76,13 @@ def op9_packing(spark, folder):
     )
 
 
+def op10_repeated_passages(spark, folder):
+    found = suffixdedup.repeated_bytes(read(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_near_duplicates, op3_source_mix, op4_fingerprints, op5_language_id, op6_main_text, op8_warc_captures, op9_packing)}
+    op1_token_counts, op2_near_duplicates, op3_source_mix, op4_fingerprints, op5_language_id, op6_main_text, op8_warc_captures, op9_packing,
+    op10_repeated_passages)}
 
 ORACLE_SQL: dict[str, str] = {}
