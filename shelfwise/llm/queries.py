@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, htmltext, langid, mixing, neardup, packing, simhash, suffixdedup, warc
+from shelfwise.llm import bpe, htmltext, langid, mixing, neardup, neighbours, packing, simhash, suffixdedup, warc
 from shelfwise.llm.common import read, shared_folder, stored
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -54,6 +55,12 @@ def op6_main_text(spark, folder):
     return htmltext.extract(pages, weights).select("page_id", "url", "text", "n_chars")
 
 
+def op7_embedding_near_duplicates(spark, folder):
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    found, _ = neighbours.near_duplicates(vectors, neighbours.Settings(threshold=0.93))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op8_warc_captures(spark, folder):
     path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     warc.write(read(spark, folder, "pages").select("page_id", "url", "html"), path, least_bytes=0)
@@ -81,8 +88,13 @@ def op10_repeated_passages(spark, folder):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def pipeline(spark, folder):
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_near_duplicates, op3_source_mix, op4_fingerprints, op5_language_id, op6_main_text, op8_warc_captures, op9_packing,
+    pipeline,
+    op1_token_counts, op2_near_duplicates, op3_source_mix, op4_fingerprints, op5_language_id, op6_main_text, op7_embedding_near_duplicates, op8_warc_captures, op9_packing,
     op10_repeated_passages)}
 
 ORACLE_SQL: dict[str, str] = {}
