@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from shelfwise.llm.common import BLANK, hex64, text_of, with_row
 
 HEAVIEST = 15
-#: Terms summed in one lane: RUN * HEAVIEST stays below 2 ** 16.
-RUN = 4096
+#: Terms summed in one lane: RUN * HEAVIEST stays below 2 ** 15, as the last lane has the sign.
+RUN = 2048
 LANES = 16
 _SPREAD = 1 | 1 << 15 | 1 << 30 | 1 << 45
 _LANE_BITS = 1 | 1 << 16 | 1 << 32 | 1 << 48
