@@ -85,7 +85,9 @@ def fly(chance: np.ndarray, size: np.ndarray, draw: np.ndarray) -> np.ndarray:
     chance that keeps expectations, decides at least one of them.
     """
     p = chance.astype(float)
-    order = np.lexsort((draw, -size))
+    # A step uses the draw of the document that has just entered, so each draw is used once;
+    # equal sizes are ordered by the draw's lower bits, which do not tell its size.
+    order = np.lexsort((draw * (1 << 20) % 1, -size))
     order = order[(p[order] > EPS) & (p[order] < 1 - EPS)]
     held: list[int] = []
     for i in np.delete(order, np.linspace(0, len(order) - 1, LANDING).astype(int) if len(order) > LANDING else slice(None)):
@@ -100,7 +102,7 @@ def fly(chance: np.ndarray, size: np.ndarray, draw: np.ndarray) -> np.ndarray:
         with np.errstate(divide="ignore"):
             up = np.where(v > 0, (1 - x) / v, np.where(v < 0, -x / v, np.inf)).min()
             down = np.where(v > 0, x / v, np.where(v < 0, (x - 1) / v, np.inf)).min()
-        step = up if draw[a] * (up + down) < down else -down
+        step = up if draw[i] * (up + down) < down else -down
         p[held] = np.clip(x + step * v, 0.0, 1.0)
         held = [k for k in held if EPS < p[k] < 1 - EPS]
     return np.where(p >= 1 - EPS, 1.0, np.where(p <= EPS, 0.0, p))
