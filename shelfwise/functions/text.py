@@ -16,15 +16,26 @@ PACK_UNITS = ("lốc", "loc", "pack")
 SINGLE_UNITS = ("can", "chai", "gói", "goi", "cái", "cai", "bịch", "bich", "hũ", "hu")
 
 
+# Digits with an optional fraction and exponent: no letters, as in `5f` or `nan`.
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def clean_number(text: Column) -> Column:
-    """Thousands commas and quotes dropped; empty or bad text is 0.0."""
+    """Thousands commas and quotes dropped; empty, bad or endless text is 0.0."""
     bare = F.trim(F.regexp_replace(text.cast("string"), '[,"]', ""))
-    return F.coalesce(bare.try_cast("double"), F.lit(0.0))
+    number = F.when(bare.rlike(NUMBER), bare.try_cast("double"))
+    return F.when(F.abs(number) < float("inf"), number).otherwise(0.0)
+
+
+def clean_whole(text: Column) -> Column:
+    """The same without its fraction; 0 where it is beyond a whole number's range."""
+    return F.coalesce(clean_number(text).try_cast("int"), F.lit(0))
 
 
 def category_level(path: Column, level: int, sep: str = ">>") -> Column:
-    """One trimmed level (0-based) of a category path, '' when absent."""
-    return F.coalesce(F.trim(F.get(F.split(path, sep), F.lit(level))), F.lit(""))
+    """One trimmed level (0-based) of a category path, '' when absent; `sep` is plain text."""
+    quoted = "".join(c if c.isalnum() or c.isspace() else f"\\{c}" for c in sep)
+    return F.coalesce(F.trim(F.get(F.split(path, quoted), F.lit(level))), F.lit(""))
 
 
 def category_levels(path: Column, sep: str = ">>") -> list[Column]:

@@ -18,6 +18,7 @@ def with_time_parts(df: DataFrame, column: str = "thoi_gian_raw") -> DataFrame:
     return df.withColumns(dates.time_parts(F.col(column))).drop(column)
 
 
+# Columns whose missing amount is 0 and whose missing name is ''.
 DEFAULT_ZERO = ("gia_ban_sp", "gia_von_sp", "so_luong", "doanh_thu", "giam_gia")
 DEFAULT_BLANK = ("ma_hang", "ten_hang", "thuong_hieu", "chi_nhanh")
 
@@ -111,28 +112,27 @@ def coerce_schema(df: DataFrame, target: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in target.fields])
 
 
+# Catalog columns by kind, with what a missing column stands for.
+CATALOG_LABELS = {"ten_hang": "ten_hang", "don_vi_tinh": "don_vi_tinh", "ma_vach": "ma_vach"}
+CATALOG_NUMBERS = {
+    "gia_ban": ("gia_ban_mac_dinh", text.clean_number, "0"), "gia_von": ("gia_von_mac_dinh", text.clean_number, "0"),
+    "quy_doi": ("quy_doi", text.clean_whole, "1"), "current_stock": ("current_stock", text.clean_number, "0"),
+    "min_stock": ("min_stock", text.clean_whole, "0"), "max_stock": ("max_stock", text.clean_whole, "0"),
+}
+
+
 def catalog_rows(df: DataFrame, sep: str = ">>") -> DataFrame:
     """An all-text catalog under any known headers to typed products."""
     at = resolve_columns(df.columns, CATALOG_RULES)
 
-    def raw(name: str, default=None) -> Column:
+    def raw(name: str, default: str | None = None) -> Column:
         return F.col(f"`{at[name]}`") if name in at else F.lit(default)
 
-    def label(name: str) -> Column:
-        return F.coalesce(F.trim(raw(name)), F.lit(""))
-
+    made = {new: F.coalesce(F.trim(raw(old)), F.lit("")) for old, new in CATALOG_LABELS.items()}
+    made |= {new: number(raw(old, missing)) for old, (new, number, missing) in CATALOG_NUMBERS.items()}
     typed = df.select(
-        F.trim(raw("ma_hang")).alias("ma_hang"),
-        label("ten_hang").alias("ten_hang"),
-        label("don_vi_tinh").alias("don_vi_tinh"),
-        *text.category_levels(raw("nhom_hang"), sep),
-        text.clean_number(raw("gia_ban", "0")).alias("gia_ban_mac_dinh"),
-        text.clean_number(raw("gia_von", "0")).alias("gia_von_mac_dinh"),
-        label("ma_vach").alias("ma_vach"),
-        text.clean_number(raw("quy_doi", "1")).cast("int").alias("quy_doi"),
-        text.clean_number(raw("current_stock", "0")).alias("current_stock"),
-        text.clean_number(raw("min_stock", "0")).cast("int").alias("min_stock"),
-        text.clean_number(raw("max_stock", "0")).cast("int").alias("max_stock"),
+        F.trim(raw("ma_hang")).alias("ma_hang"), *text.category_levels(raw("nhom_hang"), sep),
+        *[c.alias(n) for n, c in made.items()],
     )
     return first_per_key(typed, ["ma_hang"], [])
 
@@ -151,8 +151,8 @@ def sales_rows(df: DataFrame, ngay: Column) -> DataFrame:
     def raw(name: str) -> Column:
         return F.col(f"`{at[name]}`")
 
-    def number(name: str, default: float) -> Column:
-        return text.clean_number(raw(name)) if name in at else F.lit(default)
+    def number(name: str, default: str, rule) -> Column:
+        return rule(raw(name) if name in at else F.lit(default))
 
     own = [raw("thoi_gian").try_cast("date")] if "thoi_gian" in at else []
     branch = F.trim(raw("chi_nhanh")) if "chi_nhanh" in at else F.lit("Unknown")
@@ -161,8 +161,8 @@ def sales_rows(df: DataFrame, ngay: Column) -> DataFrame:
         branch.alias("ma_chi_nhanh"),
         F.coalesce(*own, ngay).alias("ngay"),
         F.trim(raw("ma_hang")).alias("ma_hang"),
-        number("so_luong", 1.0).cast("int").alias("so_luong"),
-        number("don_gia", 0.0).alias("don_gia"),
+        number("so_luong", "1", text.clean_whole).alias("so_luong"),
+        number("don_gia", "0", text.clean_number).alias("don_gia"),
     )
 
 

@@ -127,15 +127,18 @@ def comparison_summary(comparison: DataFrame) -> DataFrame:
 def fold_bounds(df: DataFrame, n: int = 5, column: str = "ngay") -> DataFrame:
     """M8: expanding folds by date: train up to a day, test on the days after it.
 
-    One row per fold. The number of folds is `n`, fewer on short histories, at least 2.
+    One row per fold. A history with fewer than `n` + 1 days cannot hold `n` folds, which is
+    an error when the result is read.
     """
     days = df.groupBy(column).agg(F.count("*").alias("n"))
     placed = Window.orderBy(column)  # one row per day
     numbered = days.select(
         column, "n", F.row_number().over(placed).alias("i"), F.count("*").over(Window.partitionBy()).alias("total"),
     )
-    folds = F.greatest(F.lit(2), F.least(F.lit(n), F.floor(F.col("total") / 6)))
-    size = F.floor(F.col("total") / (folds + 1))
+    enough = F.col("total") > n
+    folds = F.when(enough, F.lit(n).cast("bigint")).otherwise(
+        F.raise_error(F.format_string("%d days cannot hold %d folds", "total", F.lit(n))).cast("bigint"))
+    size = F.floor(F.col("total") / (n + 1))
     split = numbered.withColumns({"folds": folds, "size": size}).withColumn(
         "fold", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("folds")))
     )

@@ -130,14 +130,6 @@ def dense_series(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> D
     return days.join(df, [*keys, "ngay"], "left").na.fill(0.0, list(values))
 
 
-def usable(n_days: int, lags: Sequence[int] = LAGS, windows: Sequence[int] = WINDOWS, predicting: bool = False):
-    """Lags below and windows up to the number of days at hand."""
-    wanted = [k for k in lags if k >= 7 or not predicting]
-    kept_lags = [k for k in wanted if k < n_days] or [min(7, n_days - 1) if n_days > 1 else 1]
-    kept_windows = [w for w in windows if w <= n_days] or [min(3, n_days)]
-    return kept_lags, kept_windows
-
-
 def _ordered(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy("ngay")
 
@@ -186,17 +178,34 @@ def ema_of(values: Column, span: int) -> Column:
     )
 
 
+def running_ema(values: Column, span: int) -> Column:
+    """Exponential means of an array up to each of its values, in one pass."""
+    a = alpha(span)
+
+    def longer(acc: Column, v: Column) -> Column:
+        before = F.get(acc, F.size(acc) - 1)
+        return F.concat(acc, F.array(F.coalesce(before * (1 - a) + v * a, before, v)))
+
+    return F.aggregate(values, F.array().cast("array<double>"), longer)
+
+
 def with_ema(df: DataFrame, keys: Sequence[str], spans: Sequence[int] = WINDOWS, leak: bool = True) -> DataFrame:
-    """Exponential moving average per span.
+    """Exponential moving average per span, over all earlier rows of the series.
 
-    The frame holds 20 spans: older values weigh less than a double can show.
+    One ordered array per series, folded once for each span and exploded again; the days
+    bound its length.
     """
-    return df.withColumns({
-        f"ema_{n}_quantity": F.coalesce(
-            ema_of(F.collect_list("daily_quantity").over(_frame(keys, 20 * n, leak)), n), F.lit(0.0)
-        )
-        for n in spans
-    })
+    others = [c for c in df.columns if c not in (*keys, "ngay")]
+    rows = F.array_sort(F.collect_list(F.struct("ngay", *others)))
+    one = df.groupBy(*keys).agg(rows.alias("_rows"))
+    values = F.transform("_rows", lambda r: r["daily_quantity"].cast("double"))
+    means = {f"ema_{n}_quantity": running_ema(values, n) for n in spans}
+    folded = one.select(*keys, "_rows", *[m.alias(n) for n, m in means.items()])
+    first = F.array(F.lit(0.0))
+    shown = {n: F.col(n) if leak else F.concat(first, F.slice(n, 1, F.size(n) - 1)) for n in means}
+    rows = folded.withColumns(shown).select(*keys, F.explode(F.arrays_zip("_rows", *means)).alias("_z"))
+    return rows.select(*keys, "_z._rows.*", *[F.coalesce(f"_z.{n}", F.lit(0.0)).alias(n) for n in means]).select(
+        *df.columns, *means)
 
 
 def _change(now: Column, before: Column) -> Column:
@@ -223,11 +232,19 @@ def with_growth(df: DataFrame, keys: Sequence[str], leak: bool = True) -> DataFr
     return changed.withColumn("avg_price", F.coalesce(F.lag("avg_price", 1).over(w), F.lit(0.0)))
 
 
+#: Labels of an encoded column, all of which the driver holds.
+MOST_LABELS = 100_000
+
+
 def encode(df: DataFrame, columns: Sequence[str]) -> StringIndexerModel:
     """M4: codes in alphabetical order, to be fitted once, saved and used in both modes.
 
-    The labels go to the driver: branches, categories and brands, not products.
+    The labels go to the driver: branches, categories and brands, not products. More than
+    `MOST_LABELS` in a column is an error.
     """
+    for c in columns:
+        if df.select(c).distinct().limit(MOST_LABELS + 1).count() > MOST_LABELS:
+            raise ValueError(f"{c} has more than {MOST_LABELS} labels")
     return StringIndexer(
         inputCols=list(columns), outputCols=[f"{c}_encoded" for c in columns],
         stringOrderType="alphabetAsc", handleInvalid="keep",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import rules
 from shelfwise.operators.facts import last_days
+from shelfwise.operators.merge import barcode
 
 
 def stock_metrics(opening: Column, sold: Column, closing: Column) -> tuple[Column, Column]:
@@ -24,9 +25,9 @@ def stock_consistency(opening: Column, received: Column, sold: Column, closing:
 
 
 def stock_with_products(stock: DataFrame, products: DataFrame) -> DataFrame:
-    """Snapshots matched to products by barcode."""
+    """Snapshots matched to products by barcode; a blank one matches nothing."""
     known = products.select(
-        "ma_vach", F.col("id").alias("product_id"), "cap_1", "cap_2", "cap_3",
+        barcode("ma_vach").alias("ma_vach"), F.col("id").alias("product_id"), "cap_1", "cap_2", "cap_3",
         "gia_von_mac_dinh", "gia_ban_mac_dinh",
     )
     opening, received, sold, closing = (
@@ -175,11 +176,12 @@ def forecast_summary(forecasts: DataFrame) -> DataFrame:
     )
 
 
-def recommendations(summary: DataFrame, safety: DataFrame) -> DataFrame:
+def recommendations(summary: DataFrame, safety: DataFrame, stock: DataFrame, lead_days: int = 7) -> DataFrame:
     """Order advice for all products at once.
 
     Demand per day is the forecast over its own horizon. Below the minimum stock the gap is
-    ordered, otherwise two weeks of demand.
+    ordered, otherwise two weeks of demand. An order is urgent where the stock at hand does
+    not last through the demand of the lead time and the safety stock.
     """
     avg_daily = F.try_divide("forecast_units", "horizon_days")
     minimum = F.coalesce("min_stock", F.lit(0)).cast("double")
@@ -188,7 +190,9 @@ def recommendations(summary: DataFrame, safety: DataFrame) -> DataFrame:
     joined = summary.join(
         safety.withColumnRenamed("product_code", "ma_hang").select("ma_hang", "min_stock", "safety_stock"),
         "ma_hang", "left",
-    )
+    ).join(stock.select("ma_hang", "current_stock"), "ma_hang", "left")
+    # Rounded, so that sums of doubles do not decide.
+    spare = F.round(F.coalesce("current_stock", F.lit(0.0)) - avg_daily * lead_days - level, 6)
     return joined.select(
         F.col("ma_hang").alias("product_code"),
         F.col("forecast_units").alias("predicted_units"),
@@ -199,7 +203,7 @@ def recommendations(summary: DataFrame, safety: DataFrame) -> DataFrame:
         F.when(level < minimum, F.greatest(F.lit(0.0), minimum - level)).otherwise(two_weeks)
         .alias("suggested_order_quantity"),
         F.when(level < minimum, "gap to minimum").otherwise("two weeks of demand").alias("order_logic"),
-        F.when(F.col("forecast_units") > avg_daily * 14, "High").otherwise("Normal").alias("reorder_urgency"),
+        F.when(spare < 0, "High").otherwise("Normal").alias("reorder_urgency"),
     )
 
 

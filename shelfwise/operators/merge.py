@@ -21,20 +21,17 @@ def upsert(
     """Rows of `updates` replace rows of equal key; only `columns` when given.
 
     One full join: the target is read and shuffled once. Of repeated updates the first by
-    `order` counts.
+    `order` counts. Null keys equal null.
     """
     latest = first_per_key(updates, keys, order).withColumn("_hit", F.lit(True))
     changed = set(columns if columns is not None else updates.columns) - set(keys)
-    t, u = target.alias("t"), latest.alias("u")
-    joined = t.join(u, [F.col(f"t.{k}") == F.col(f"u.{k}") for k in keys], "full")
-    hit = F.col("u._hit").isNotNull()
-    absent = F.lit(True)
-    for k in keys:
-        absent = absent & F.col(f"t.{k}").isNull()
+    t, u = target.withColumn("_here", F.lit(True)).alias("t"), latest.alias("u")
+    joined = t.join(u, [F.col(f"t.{k}").eqNullSafe(F.col(f"u.{k}")) for k in keys], "full")
+    hit, absent = F.col("u._hit").isNotNull(), F.col("t._here").isNull()
 
     def merged(name: str) -> Column:
         if name in keys:
-            return F.coalesce(f"t.{name}", f"u.{name}")
+            return F.when(absent, F.col(f"u.{name}")).otherwise(F.col(f"t.{name}"))
         if name not in updates.columns:
             return F.col(f"t.{name}")
         use = hit if name in changed else hit & absent
@@ -67,21 +64,27 @@ def selected_only(df: DataFrame, selected: DataFrame, key: str) -> DataFrame:
     return df.join(selected.select(key), key, "left_semi")
 
 
+def barcode(column: str) -> Column:
+    """A barcode to join by: null when blank."""
+    return F.nullif(F.trim(F.col(column)), F.lit(""))
+
+
 def sales_with_products(sales: DataFrame, products: DataFrame, sale_id: str) -> DataFrame:
     """Sales matched to products by barcode or by product code.
 
     Two equi joins and a union stand in for the OR condition; a product that matches both
-    ways counts once, and unmatched sales stay with empty product columns.
+    ways counts once, and unmatched sales stay with empty product columns. A blank barcode
+    matches nothing.
     """
     known = products.select(
-        F.col("ma_vach").alias("p_vach"), F.col("ma_hang").alias("p_hang"),
+        barcode("ma_vach").alias("p_vach"), F.col("ma_hang").alias("p_hang"),
         F.col("thuong_hieu").alias("product_brand"),
         *[F.col(f"cap_{i}").alias(f"product_cat{i}") for i in (1, 2, 3)],
         F.lit(True).alias("_hit"),
     )
     keys = sales.select(sale_id, "ma_vach", "ma_hang")
     by_code = keys.join(known, F.col("ma_hang") == F.col("p_hang"))
-    by_barcode = keys.join(known, F.col("ma_vach") == F.col("p_vach")).filter(
+    by_barcode = keys.join(known, barcode("ma_vach") == F.col("p_vach")).filter(
         ~F.coalesce(F.col("p_hang") == F.col("ma_hang"), F.lit(False))
     )
     found = [c for c in known.columns if c != "p_vach"]

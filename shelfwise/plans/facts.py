@@ -270,7 +270,7 @@ def recent_weeks(s):
 
 
 @query(
-    "A13_recent_transactions", "A13",
+    "A13_recent_transactions", "A13 B21",
     """answer AS (
       SELECT t.id, t.ma_giao_dich, t.ngay, t.ma_chi_nhanh, t.ten_chi_nhanh, b.city
       FROM tx t JOIN branches b ON t.ma_chi_nhanh = b.ma_chi_nhanh
@@ -281,15 +281,15 @@ def recent_transactions(s):
 
 
 @query(
-    "B20_valid_sales", "B20 B21 C1",
+    "B20_valid_sales", "B20 C1",
     """answer AS (
       SELECT transaction_id, ngay AS transaction_date, ma_chi_nhanh AS branch_code,
              ma_hang AS product_code, so_luong AS quantity, thanh_tien AS net_amount
-      FROM lines WHERE so_luong > 0 AND thanh_tien > 0 AND ngay >= (SELECT d - 365 FROM newest))""",
+      FROM lines WHERE so_luong > 0 AND thanh_tien > 0)""",
     two="net_amount",
 )
 def valid_sales(s):
-    lines = facts.sales_lines(s.transactions, s.details, s.as_of, 365)
+    lines = facts.sales_lines(s.transactions, s.details)
     return facts.valid_sales(lines).drop("unit_price")
 
 

@@ -180,31 +180,46 @@ def growth(s):
     )
 
 
-@query(
-    "M3_train_features", "M3 M4 M5",
-    f"""{_SERIES}, priced AS (SELECT *, daily_revenue / (daily_quantity + 1e-8::DOUBLE) AS price FROM series),
+def _m3_sql() -> str:
+    """Every lag, window and span of the training features, from earlier rows only."""
+    lags = [f"coalesce(lag({v}, {k}) OVER w, 0) AS lag_{k}_{n}"
+            for k in features.LAGS for n, v in (("quantity", "daily_quantity"), ("revenue", "daily_revenue"))]
+    made = {"mean": "avg({q})", "std": "stddev_samp({q})", "min": "min({q})", "max": "max({q})"}
+    rolling = [f"coalesce({f.format(q='daily_quantity')} OVER p{n}, 0) AS rolling_{stat}_{n}_quantity"
+               for n in features.WINDOWS for stat, f in made.items()]
+    rolling += [f"coalesce(max(daily_quantity) OVER p{n} - min(daily_quantity) OVER p{n}, 0) AS rolling_range_{n}_quantity"
+                for n in features.WINDOWS]
+    means = [_ema_sql(n, "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING") for n in features.WINDOWS]
+    frames = ", ".join(f"p{n} AS ({_W} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)" for n in features.WINDOWS)
+    return f"""{_SERIES}, priced AS (SELECT *, daily_revenue / (daily_quantity + 1e-8::DOUBLE) AS price FROM series),
     answer AS (
-      SELECT {_BASE}, CAST(isodow(ngay) AS INTEGER) AS day_of_week,
-             coalesce(lag(daily_quantity, 7) OVER w, 0) AS lag_7_quantity,
-             coalesce(avg(daily_quantity) OVER p7, 0) AS rolling_mean_7_quantity,
-             coalesce(stddev_samp(daily_quantity) OVER p7, 0) AS rolling_std_7_quantity,
-             {_ema_sql(7, 'ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING')},
+      SELECT {_BASE}, CAST(isodow(ngay) AS INTEGER) AS day_of_week, {', '.join(lags + rolling + means)},
              coalesce(lag(price) OVER w, 0) AS avg_price,
+             coalesce((lag(price) OVER w - lag(price, 2) OVER w) / nullif(lag(price, 2) OVER w, 0), 0) AS price_change,
              coalesce((lag(daily_quantity) OVER w - lag(daily_quantity, 2) OVER w) / nullif(lag(daily_quantity, 2) OVER w, 0), 0) AS quantity_growth,
              CAST(dense_rank() OVER (ORDER BY city) - 1 AS INTEGER) AS city_encoded,
              CAST(dense_rank() OVER (ORDER BY nhom_hang_cap_1) - 1 AS INTEGER) AS nhom_hang_cap_1_encoded
-      FROM priced WINDOW w AS ({_W}), p7 AS ({_W} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))""",
-    four="rolling_mean_7_quantity rolling_std_7_quantity ema_7_quantity avg_price quantity_growth",
+      FROM priced WINDOW w AS ({_W}), {frames})"""
+
+
+_M3 = ("lag_", "rolling_", "ema_", "avg_price", "price_change", "quantity_growth", "day_of_week")
+
+
+@query(
+    "M3_train_features", "M3 M4 M5", _m3_sql(),
+    four=" ".join(
+        [f"rolling_{stat}_{n}_quantity" for n in features.WINDOWS for stat in ("mean", "std", "range")]
+        + [f"ema_{n}_quantity" for n in features.WINDOWS] + ["avg_price", "price_change", "quantity_growth"]
+    ),
+    two=" ".join(f"lag_{k}_revenue" for k in features.LAGS),
 )
 def train_features(s):
+    """The full feature set; calendar features other than the week day are shown by H3."""
     rows = pinned(series(s))
     encoder = features.encode(rows, SERIES)
-    made = features.make_features(rows, SERIES, lags=(7,), windows=(7,), spans=(7,), encoder=encoder)
-    return made.select(
-        "ngay", *SERIES, "daily_quantity", "day_of_week", "lag_7_quantity", "rolling_mean_7_quantity",
-        "rolling_std_7_quantity", "ema_7_quantity", "avg_price", "quantity_growth", "city_encoded",
-        "nhom_hang_cap_1_encoded",
-    )
+    made = features.make_features(rows, SERIES, encoder=encoder)
+    wanted = [c for c in features.feature_columns(made) if c.startswith(_M3) or c.endswith("_encoded")]
+    return made.select("ngay", *SERIES, "daily_quantity", *wanted)
 
 
 @query(
@@ -253,8 +268,7 @@ def lag_coverage(s):
 @query(
     "M8_fold_bounds", "M8",
     """days AS (SELECT ngay, count(*) AS n, row_number() OVER (ORDER BY ngay) AS i, count(*) OVER () AS total FROM tx GROUP BY 1),
-    k AS (SELECT greatest(2, least(5, max(total) // 6)) AS folds, max(total) // (greatest(2, least(5, max(total) // 6)) + 1) AS size,
-                 max(total) AS total FROM days),
+    k AS (SELECT 5 AS folds, max(total) // 6 AS size, max(total) AS total FROM days),
     f AS (SELECT unnest(range(1, folds + 1)) AS fold, folds, size, total FROM k),
     b AS (SELECT fold, total - (folds - fold + 1) * size AS t, size FROM f),
     answer AS (
@@ -561,7 +575,7 @@ def report(s):
     """The report tables of the naive forecasts, one value per line."""
     orders = Orders(s)
     tables = forecast.report(
-        pinned(orders.forecasts), pinned(_category_forecast(s)), inventory.recommendations(orders.summary, orders.safety)
+        pinned(orders.forecasts), pinned(_category_forecast(s)), inventory.recommendations(orders.summary, orders.safety, orders.stock)
     )
     lines = {
         "totals": (F.lit(""), F.col("total_quantity")),
@@ -577,8 +591,7 @@ def report(s):
     return out
 
 
-_SMALL = {"lags": (1, 7, 14), "windows": (7, 14), "spans": (7, 14)}
-_FAST = {"maxIter": 8, "maxDepth": 4}
+_SHAPE = {"lags": features.LAGS, "windows": features.WINDOWS, "spans": features.WINDOWS}
 
 
 def _training(s):
@@ -586,7 +599,7 @@ def _training(s):
     latest = seasonality.latest_factors(seasonal_factors_of(s))
     rows = pinned(series(s, latest))
     encoder = features.encode(rows, SERIES)
-    made = features.make_features(rows, SERIES, encoder=encoder, **_SMALL)
+    made = features.make_features(rows, SERIES, encoder=encoder, **_SHAPE)
     wanted = [c for c in features.feature_columns(made) if not c.endswith("_revenue") and c not in ("avg_price", "price_change")]
     return rows, pinned(made.select("ngay", "daily_quantity", *wanted)), wanted, encoder, latest
 
@@ -595,14 +608,14 @@ def _training(s):
 def train_importance(s):
     """Feature importances of a quantity model over all regional category series."""
     _, made, wanted, _, _ = _training(s)
-    return forecast.importance(s.spark, forecast.train(made, wanted, params=_FAST))
+    return forecast.importance(s.spark, forecast.train(made, wanted))
 
 
 @query("M7_tune", "M7 M8")
 def tune(s):
-    """Two random settings over two expanding folds; one row per setting."""
+    """Two random settings, ten rounds each, over three expanding folds; one row per setting."""
     _, made, wanted, _, _ = _training(s)
-    _, results = forecast.tune(made, wanted, trials=2, folds=2, fixed={"maxIter": 3, "maxDepth": 3}, parallel=2)
+    _, results = forecast.tune(made, wanted, trials=2, folds=3, fixed={"maxIter": 10}, parallel=2)
     return s.spark.createDataFrame(
         [(i, str(sorted(r["params"].items())), float(r["mdape"])) for i, r in enumerate(results)],
         "trial int, params string, mdape double",
@@ -613,9 +626,9 @@ def tune(s):
 def recursive_forecast(s):
     """Fourteen days ahead for every regional category series."""
     rows, made, wanted, encoder, latest = _training(s)
-    model = forecast.train(made, wanted, params=_FAST)
-    state = forecast.encoded(forecast.state_of(rows, SERIES, _SMALL["spans"]), encoder)
-    return forecast.forecast(model, state, latest, s.as_of, 14, **_SMALL).drop(*encoder.getOutputCols())
+    model = forecast.train(made, wanted)
+    state = forecast.encoded(forecast.state_of(rows, SERIES, **_SHAPE), encoder)
+    return forecast.forecast(model, state, latest, s.as_of, 14, **_SHAPE).drop(*encoder.getOutputCols())
 
 
 @query("M16_category_forecast", "M9 M16")
@@ -628,6 +641,6 @@ def category_forecast(s):
     shape = {"lags": (1, 7, 14), "windows": (7, 14), "spans": (7,)}
     made = features.make_features(rows, keys, encoder=encoder, **shape)
     wanted = [c for c in features.feature_columns(made) if not c.endswith("_revenue") and c not in ("avg_price", "price_change")]
-    model = forecast.train(pinned(made.select("ngay", "daily_quantity", *wanted)), wanted, params=_FAST)
-    state = forecast.encoded(forecast.state_of(rows, keys, shape["spans"]), encoder).filter("days_sold >= 7")
+    model = forecast.train(pinned(made.select("ngay", "daily_quantity", *wanted)), wanted)
+    state = forecast.encoded(forecast.state_of(rows, keys, **shape), encoder).filter("days_sold >= 7")
     return forecast.forecast(model, state, latest, s.as_of, 7, **shape).drop(*encoder.getOutputCols())

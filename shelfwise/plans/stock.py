@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from shelfwise.functions import rules
@@ -357,8 +359,15 @@ class Orders:
 
     def __init__(self, s):
         self.s = s
-        # Read by several rules, so fixed once.
-        self.recent = pinned(regular(s, 28))
+
+    @cached_property
+    def recent(self):
+        """Read by several rules, so fixed once, and only where a rule asks for it."""
+        return pinned(regular(self.s, 28))
+
+    @cached_property
+    def stock(self):
+        return inventory.latest_stock(self.s.stock)
 
     @property
     def forecasts(self):
@@ -392,7 +401,7 @@ class Orders:
     @property
     def needs(self):
         return inventory.order_needs(
-            self.summary, facts.last_seven_days_sales(self.recent), inventory.latest_stock(self.s.stock)
+            self.summary, facts.last_seven_days_sales(self.recent), self.stock
         )
 
 
@@ -420,27 +429,25 @@ def optimal_stock(s):
              CASE WHEN safety_stock < min_stock THEN min_stock - safety_stock
                   ELSE round_even(forecast_units / horizon_days * 14, 0) END AS suggested_order_quantity,
              CASE WHEN safety_stock < min_stock THEN 'gap to minimum' ELSE 'two weeks of demand' END AS order_logic,
-             CASE WHEN forecast_units > forecast_units / horizon_days * 14 THEN 'High' ELSE 'Normal' END AS reorder_urgency
-      FROM fs LEFT JOIN safety ON ma_hang = product_code)""",
+             CASE WHEN round(coalesce(current_stock, 0) - forecast_units / horizon_days * 7 - coalesce(safety_stock, 0), 6) < 0
+                  THEN 'High' ELSE 'Normal' END AS reorder_urgency
+      FROM fs LEFT JOIN safety ON ma_hang = product_code LEFT JOIN now_stock USING (ma_hang))""",
     four="predicted_units avg_daily_demand",
 )
 def recommendations(s):
     orders = Orders(s)
-    return inventory.recommendations(orders.summary, orders.safety)
+    return inventory.recommendations(orders.summary, orders.safety, orders.stock)
 
 
 @query(
-    "J8_order_needs", "J8 F5",
+    "J8_order_needs", "J8",
     f"""{ORDERS}, answer AS (
-      SELECT ma_hang, forecast_units, last_week_sales, current_stock, suggested_order FROM needs
-      ORDER BY suggested_order DESC, last_week_sales DESC, ma_hang LIMIT 50)""",
+      SELECT ma_hang, forecast_units, last_week_sales, current_stock, suggested_order FROM needs)""",
     four="forecast_units",
 )
 def order_needs(s):
-    """The 50 largest needs."""
-    return Orders(s).needs.select(
-        "ma_hang", "forecast_units", "last_week_sales", "current_stock", "suggested_order"
-    ).orderBy(F.desc("suggested_order"), F.desc("last_week_sales"), "ma_hang").limit(50)
+    """The needs of all products."""
+    return Orders(s).needs.select("ma_hang", "forecast_units", "last_week_sales", "current_stock", "suggested_order")
 
 
 @query(

@@ -58,13 +58,13 @@ def stream_totals(s):
     "A14_append_forecasts", "A14 A16",
     """answer AS (
       SELECT CAST(d + 1 AS DATE) AS forecast_date, ma_hang, count(*) * 2 AS rows, sum(so_luong) * 2 / 60 AS predicted_quantity
-      FROM lines, newest WHERE ngay >= d - 60 GROUP BY 1, 2)""",
+      FROM lines, newest GROUP BY 1, 2)""",
     four="predicted_quantity",
 )
 def append_forecasts(s):
     """One row per line and twice over: forecasts appended to a table, summed, and written as JSON."""
     base = scratch_path(s.spark, "forecasts")
-    lines = facts.sales_lines(s.transactions, s.details, s.as_of, 60)
+    lines = facts.sales_lines(s.transactions, s.details)
     rows = lines.select(
         F.date_add(s.as_of, 1).alias("forecast_date"), F.col("product_code").alias("ma_hang"),
         (F.col("quantity") / 60).alias("predicted_quantity"), F.lit(1).alias("unknown_column"),

@@ -8,14 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shelfwise.session import latest_day, tune
+from shelfwise.session import tune
 from shelfwise.sources.reference import STORE_TYPES
 
 
-# Schemas seen so far: reading a footer costs a job, so each file's is read once.
-_SCHEMAS: dict[str, StructType] = {}
-
-
 class Sources:
     """Lazy canonical tables of one data folder."""
 
@@ -25,14 +21,16 @@ class Sources:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = tune(spark)
         self.folder = folder
+        # Reading a footer costs a job, so each file's is read once here.
+        self._schemas: dict[str, StructType] = {}
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
         reader = self.spark.read
-        if path in _SCHEMAS:
-            return reader.schema(_SCHEMAS[path]).parquet(path)
+        if path in self._schemas:
+            return reader.schema(self._schemas[path]).parquet(path)
         df = reader.parquet(path)
-        _SCHEMAS[path] = df.schema
+        self._schemas[path] = df.schema
         return df
 
     @cached_property
@@ -100,8 +98,13 @@ class Sources:
 
     @cached_property
     def as_of(self) -> Column:
-        """Newest order date, in place of today."""
-        return latest_day(self.table("orders"), "o_orderdate")
+        """Newest order date, in place of today.
+
+        A literal, read once by one small job: look-backs against it reach the scan, which a
+        subquery's value does not.
+        """
+        newest = self.table("orders").agg(F.max("o_orderdate").cast("date")).first()[0]
+        return F.lit(newest).cast("date")
 
     @cached_property
     def stock(self) -> DataFrame:

@@ -51,11 +51,15 @@ def drain(
 
 
 def earlier_batches(spark: SparkSession, path: str, batch: int) -> DataFrame | None:
-    """Rows of batches before this one, None when there are none."""
+    """Rows of batches before this one, None when nothing has been written yet."""
     try:
-        return spark.read.parquet(path).filter(F.col("batch") < batch)
-    except AnalysisException:
+        stored = spark.read.parquet(path)
+    except AnalysisException as problem:
+        # No folder, or one in which the first batch did not finish; all else is an error.
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return None
+    return stored.filter(F.col("batch") < batch)
 
 
 def insert_batch(path: str, keys: Sequence[str], time: str | None = None) -> Callable[[DataFrame, int], None]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions import dates, rules, text
-from shelfwise.operators import clean, merge
+from shelfwise.operators import clean, inventory, merge
 from shelfwise.sources import files, schemas
 
 
@@ -16,9 +16,14 @@ def values(spark, rows, schema, *columns):
 
 
 def test_clean_number(spark):
-    rows = [("1,234,500",), ('"12.5"',), ("",), ("abc",), (" 12 ",), (None,), ("-3",)]
+    rows = [("1,234,500",), ('"12.5"',), ("",), ("abc",), (" 12 ",), (None,), ("-3",), ("5f",), ("7d",), ("nan",), ("1e999",), ("2.5e3",)]
     got = values(spark, rows, "t string", text.clean_number(F.col("t")))
-    assert [g[0] for g in got] == [1234500.0, 12.5, 0.0, 0.0, 12.0, 0.0, -3.0]
+    assert [g[0] for g in got] == [1234500.0, 12.5, 0.0, 0.0, 12.0, 0.0, -3.0, 0.0, 0.0, 0.0, 0.0, 2500.0]
+
+
+def test_clean_whole(spark):
+    rows = [("3000000000",), ("nan",), ("7.9",), ("-2",), (None,), ("5f",)]
+    assert [g[0] for g in values(spark, rows, "t string", text.clean_whole(F.col("t")))] == [0, 0, 7, -2, 0, 0]
 
 
 def test_category_levels(spark):
@@ -26,6 +31,34 @@ def test_category_levels(spark):
     got = values(spark, rows, "t string", *text.category_levels(F.col("t")))
     assert got == [("", "", ""), ("A", "", ""), ("A", "B", ""), ("A", "B", "C"), ("", "", "")]
     assert values(spark, [("A > B",)], "t string", *text.category_levels(F.col("t"), ">")) == [("A", "B", "")]
+    assert values(spark, [("A | B",)], "t string", *text.category_levels(F.col("t"), "|")) == [("A", "B", "")]
+
+
+def test_blank_barcodes_match_nothing(spark):
+    products = spark.createDataFrame(
+        [(1, "", "p1"), (2, " ", "p2"), (3, "B3", "p3")], "id int, ma_vach string, ma_hang string").withColumns(
+        {c: F.lit("x") for c in ("thuong_hieu", "cap_1", "cap_2", "cap_3")} | {c: F.lit(1.0) for c in ("gia_von_mac_dinh", "gia_ban_mac_dinh")})
+    sales = spark.createDataFrame([(1, "", "zz"), (2, "B3", "zz"), (3, "", "p1"), (4, None, "q")], "sale int, ma_vach string, ma_hang string")
+    got = merge.sales_with_products(sales, products, "sale").collect()
+    assert sorted((r.sale, r.product_code) for r in got) == [(1, None), (2, "p3"), (3, "p1"), (4, None)]
+    stock = spark.createDataFrame([("", 1.0, 1.0, 1.0, 1.0), ("B3", 1.0, 1.0, 1.0, 1.0)], "ma_vach string, ton_dau_ky double, sl_nhap double, sl_xuat double, ton_cuoi_ky double")
+    assert sorted((r.ma_vach, r.product_id) for r in inventory.stock_with_products(stock, products).collect()) == [("", None), ("B3", 3)]
+
+
+def test_upsert_takes_null_keys_as_equal(spark):
+    target = spark.createDataFrame([(None, 1, 7), (2, 2, 8)], "k int, v int, w int")
+    updates = spark.createDataFrame([(None, 5), (3, 6)], "k int, v int")
+    for _ in range(2):
+        target = merge.upsert(target, updates, ["k"])
+    assert sorted(((r.k or 0), r.v, r.w) for r in target.collect()) == [(0, 5, 7), (2, 2, 8), (3, 6, None)]
+
+
+def test_urgency_is_judged_against_the_stock(spark):
+    summary = spark.createDataFrame([("a", 28.0, 14), ("b", 28.0, 14), ("c", 28.0, 14)], "ma_hang string, forecast_units double, horizon_days long")
+    safety = spark.createDataFrame([("a", 1, 4.0), ("b", 1, 4.0)], "product_code string, min_stock int, safety_stock double")
+    stock = spark.createDataFrame([("a", 18.0), ("b", 17.0), ("c", 14.0)], "ma_hang string, current_stock double")
+    got = {r.product_code: r.reorder_urgency for r in inventory.recommendations(summary, safety, stock).collect()}
+    assert got == {"a": "Normal", "b": "High", "c": "Normal"}  # 2 a day for 7 days and 4 spare: 18
 
 
 @pytest.mark.parametrize("unit,name,want", [

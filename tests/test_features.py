@@ -58,11 +58,9 @@ def test_train_features_use_earlier_rows_only(history, frame):
     np.testing.assert_allclose(got["ema_7_quantity"], expected, atol=1e-9)
 
 
-def test_dense_series_and_usable(history):
+def test_dense_series(history):
     dense = features.dense_series(history.filter("ma_hang = 'sparse'"), KEYS, ["daily_quantity"])
     assert dense.count() == 7 * 40 + 1 and dense.filter("daily_revenue is not null").count() == 8
-    assert features.usable(10) == ([1, 3, 7], [7]) and features.usable(1) == ([1], [1])
-    assert features.usable(40, predicting=True)[0] == [7, 14, 21, 30]
 
 
 def test_cold_start_reasons(history):
@@ -90,8 +88,10 @@ def test_folds_do_not_overlap(history):
         assert b.train_end < b.test_start <= b.test_end
         if after:
             assert after.train_end == b.test_end
-    few = evaluate.fold_bounds(history.filter("ma_hang = 'even'"), 5).collect()
-    assert len(few) == 2
+    days = history.select("ngay").distinct().orderBy("ngay").limit(5)
+    with pytest.raises(Exception, match="5 days cannot hold 5 folds"):
+        evaluate.fold_bounds(days, 5).collect()
+    assert evaluate.fold_bounds(days, 4).count() == 4
 
 
 def test_metrics(spark):
@@ -120,6 +120,23 @@ def test_peak_windows_cover_every_year(spark):
     assert {r[0].isoformat(): r[1] for r in got} == {"2025-12-20": 4, "2025-06-01": 1}
 
 
+def test_ema_weighs_the_whole_series(spark):
+    rows = [(date(2020, 1, 1) + timedelta(days=i), "k", 1e9 if i == 0 else 0.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "ngay date, k string, daily_quantity double")
+    got = [r[0] for r in features.with_ema(df, ["k"], [3]).orderBy("ngay").select("ema_3_quantity").collect()]
+    assert got == pytest.approx([1e9 * 0.5 ** i for i in range(200)], rel=1e-9)
+
+
+def test_forecast_looks_back_as_far_as_its_lags(spark, history):
+    """A lag beyond a month is served from real values, not 0."""
+    dense = features.dense_series(history.filter("ma_hang = 'dense'"), KEYS, ["daily_quantity", "daily_revenue"])
+    state = forecast.state_of(dense, KEYS, lags=(45,), windows=(40,), spans=())
+    row = state.select("hist", *[c.alias(n) for n, c in forecast.step_features((45,), (40,)).items()]).first()
+    values = [r[0] for r in dense.orderBy("ngay").select("daily_quantity").collect()]
+    assert row.hist == pytest.approx(values[-45:]) and row.lag_45_quantity == pytest.approx(values[-45])
+    assert row.rolling_mean_40_quantity == pytest.approx(np.mean(values[-40:]))
+
+
 def test_recursive_forecast_matches_day_by_day(spark, history):
     """Each step redone from scratch: the longer history through the training features."""
     dense = history.filter("ma_hang = 'dense'")
@@ -128,7 +145,7 @@ def test_recursive_forecast_matches_day_by_day(spark, history):
     wanted = [c for c in features.feature_columns(made) if not c.endswith("_revenue") and c not in ("avg_price", "price_change")]
     model = forecast.train(made, wanted, params={"maxIter": 3, "maxDepth": 3})
     last = date(2024, 1, 1) + timedelta(days=59)
-    state = forecast.state_of(dense, KEYS, shape["spans"])
+    state = forecast.state_of(dense, KEYS, **shape)
     got = forecast.forecast(model, state, None, str(last), 4, pin_every=2, **shape).orderBy("forecast_date").collect()
 
     known = dense.select("ngay", *KEYS, "daily_quantity", "daily_revenue", *features.NO_SEASON)
@@ -152,4 +169,5 @@ def test_tune_picks_the_lowest_metric(history):
     best, results = forecast.tune(made, ["lag_1_quantity", "rolling_mean_7_quantity", "day_of_week"], trials=2, folds=2,
                                   metric="mae", parallel=2, fixed={"maxIter": 2, "maxDepth": 2})
     assert len(results) == 2 and best == min(results, key=lambda r: r["mae"])["params"]
-    assert set(best) == set(forecast.SPACE)
+    assert set(best) == set(forecast.SPACE) | {"maxIter"}
+    assert all(r["params"]["maxDepth"] == 2 and r["params"]["maxIter"] == 2 for r in results)
