@@ -644,3 +644,47 @@ def category_forecast(s):
     model = forecast.train(pinned(made.select("ngay", "daily_quantity", *wanted)), wanted)
     state = forecast.encoded(forecast.state_of(rows, keys, **shape), encoder).filter("days_sold >= 7")
     return forecast.forecast(model, state, latest, s.as_of, 7, **shape).drop(*encoder.getOutputCols())
+
+
+def _shape(forecasts: DataFrame, keys) -> DataFrame:
+    """What must hold of any model's forecast, per series: days, range of dates, bounds."""
+    raw = F.col("predicted_quantity_raw")
+
+    def near(c, share):
+        return F.bool_and(F.abs(F.col(c) - raw * share) < 1e-9)
+
+    return forecasts.groupBy(*keys).agg(
+        F.count("*").alias("days"), F.countDistinct("forecast_date").alias("dates"),
+        F.min("forecast_date").alias("first_day"), F.max("forecast_date").alias("last_day"),
+        F.bool_and(raw >= 0).alias("never_negative"), near("confidence_lower", 0.8).alias("lower_right"),
+        near("confidence_upper", 1.2).alias("upper_right"),
+        F.bool_and(F.col("predicted_quantity") == rules.whole(raw)).alias("whole_right"),
+        F.bool_or("is_cold_start").alias("cold"),
+    )
+
+
+def _shape_sql(source: str, keys: str, days: int) -> str:
+    return f"""answer AS (
+      SELECT {keys}, CAST({days} AS BIGINT) AS days, CAST({days} AS BIGINT) AS dates, CAST(d + 1 AS DATE) AS first_day,
+             CAST(d + {days} AS DATE) AS last_day, true AS never_negative, true AS lower_right, true AS upper_right,
+             true AS whole_right, false AS cold
+      FROM ({source}), newest)"""
+
+
+@query(
+    "M15_forecast_shape", "M15 M6",
+    _SERIES + ", " + _shape_sql("SELECT DISTINCT city, nhom_hang_cap_1 FROM series", "city, nhom_hang_cap_1", 14),
+)
+def forecast_shape(s):
+    """The recursive forecast has every day of every series, in bounds."""
+    return _shape(recursive_forecast(s), SERIES)
+
+
+@query(
+    "M16_forecast_shape", "M16 M9",
+    _shape_sql("""SELECT cap_1 AS nhom_hang_cap_1 FROM regular WHERE quantity_sold > 0 AND gross_revenue > 0
+      GROUP BY 1 HAVING count(DISTINCT transaction_date) >= 7""", "nhom_hang_cap_1", 7),
+)
+def category_forecast_shape(s):
+    """The category forecast has seven days of each category with a week of history."""
+    return _shape(category_forecast(s), ("nhom_hang_cap_1",))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import tempfile
 import uuid
 
@@ -47,7 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if sc.getCheckpointDir() is not None:
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="shelfwise-"))
     return sc.getCheckpointDir()
