@@ -179,10 +179,11 @@ def made_texts(seed, n=110):
 def test_passages_against_brute_force(spark, seed):
     texts = made_texts(seed)
     docs = cases.with_clashes(spark.createDataFrame(
-        [(i % 100, t, "en", "s", 1) for i, t in enumerate(texts)], cases.DOCS), "n_removed", "raw", "cover")
+        [(i, t, "en", "s", 1) for i, t in enumerate(texts)], cases.DOCS), "n_removed", "raw", "cover", "keep", "_row")
     rows = suffixdedup.repeated_bytes(docs).collect()
-    want = Counter((t, n, k, runs, hashlib.sha256(left).hexdigest()) for t, (n, k, runs, left) in zip(texts, brute(texts)))
-    assert Counter((r["text"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows) == want
+    want = {i: (n, k, runs, hashlib.sha256(left).hexdigest()) for i, (n, k, runs, left) in enumerate(brute(texts))}
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows} == want
+    assert len(rows) == len(texts) and {r["keep"] for r in rows} == {"clash"}
 
 
 def test_removed_text(spark):
@@ -196,8 +197,8 @@ def test_removed_text(spark):
 def test_passage_cases(spark):
     docs = cases.documents(spark)
     rows = suffixdedup.repeated_bytes(docs).collect()
-    texts = [r["text"] for r in rows]
-    assert [(r["n_bytes"], r["n_removed"], r["n_spans"]) for r in rows] == [b[:3] for b in brute(texts)]
+    texts = [r["text"] for r in docs.collect()]
+    assert Counter((r["n_bytes"], r["n_removed"], r["n_spans"]) for r in rows) == Counter(b[:3] for b in brute(texts))
     assert suffixdedup.repeated_bytes(cases.empty(docs)).count() == 0
     assert suffixdedup.remove(cases.empty(docs)).count() == 0
     assert suffixdedup.remove(docs).columns == docs.columns
