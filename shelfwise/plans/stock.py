@@ -11,8 +11,8 @@ from shelfwise.operators import facts, inventory, quality, seasonality, staging
 from shelfwise.plans.dimensions import RECEIPTS
 from shelfwise.plans.facts import WEEK
 from shelfwise.plans.query import PROMO, query
-from shelfwise.session import pinned
-from shelfwise.sources import reference
+from shelfwise.session import pinned, scratch_path
+from shelfwise.sources import files, reference
 
 
 def regular(s, days: int = 0):
@@ -489,8 +489,12 @@ def active_candidates(s):
     two="doanh_thu_4tuan",
 )
 def purchase_order(s):
+    """The purchase order, written as CSV and read back."""
     o = Orders(s)
-    return inventory.purchase_order(o.needs, o.optimal, o.safety, s.products)
+    made = inventory.purchase_order(o.needs, o.optimal, o.safety, s.products)
+    path = scratch_path(s.spark, "order")
+    files.write_purchase_order(made, path)
+    return files.read_purchase_order(s.spark, path, made.schema)
 
 
 @query(
