@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.session import shared_dir
+
 #: A word is a run of characters other than space, tab, line feed, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
@@ -24,28 +27,32 @@ def text_of(column: str = "text") -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which executors and driver share.
 
-    Where the session has none it must be set by the caller (tests do); nothing falls
-    back to a folder of one machine.
+    Where the session has none, a purely local one gets a folder of its own (tests); on a
+    cluster that is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return folder.rstrip("/")
+    return shared_dir(spark).rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet into the shared folder and read it back: cuts the lineage,
     keeps the rows fixed, and survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    tidy(spark)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps that are done. It does so when the
+    driver's garbage is collected, which on its own may come after the disks are full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def pinned(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared folder; Spark removes it when it is unused."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -58,3 +65,13 @@ def with_row(df: DataFrame, name: str = "_row") -> DataFrame:
 def hex64(column: Column) -> Column:
     """A long as 16 lowercase hex digits."""
     return F.lpad(F.lower(F.hex(column)), 16, "0")
+
+
+def few_by_hash(df: DataFrame, rows: int, *columns: str, seed: int = 17) -> DataFrame:
+    """At most `rows` rows, those with the smallest hash of `columns`. A first cut by the
+    hash keeps the rows that tasks offer to the driver near that number at any size."""
+    n = df.count()
+    hash_ = F.xxhash64(F.lit(seed), *columns)
+    u = F.shiftrightunsigned(hash_, 11).cast("double") / float(1 << 53)
+    share = min(1.0, (1.5 * rows + 100) / n) if n else 1.0
+    return df.filter(u < share).orderBy(hash_, *columns).limit(rows)
