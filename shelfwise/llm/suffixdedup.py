@@ -23,7 +23,7 @@ have mixed blocks. Equal texts are one witness with a weight.
 
 Cases: null text is empty; texts shorter than `length` lose nothing; long texts are treated
 as any other; repeated rows are different documents with equal texts; an empty table gives
-an empty result; extra columns stay where `remove` keeps the columns. Bytes are removed
+an empty result; extra columns go along. Bytes are removed
 even inside a character; what is left is cut text, in which `remove` drops broken ones.
 """
 
@@ -35,8 +35,10 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.llm.common import stored, text_of, with_row
 
@@ -169,6 +171,17 @@ def _item_batches(made: Iterator[tuple[int, int, tuple[np.ndarray, np.ndarray, n
         yield close()
 
 
+def _first_cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Names of the anchors' q-grams."""
+    for batch in batches:
+        made = [np.empty(0, np.int64)]
+        for raw in batch.column(0):
+            text = Text(raw.as_buffer().to_pybytes())
+            anchor, _, _ = text.blocks()
+            made.append(text.names(anchor, anchor + GRAM))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made))], ["core"])
+
+
 def _first_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def made():
         for batch in batches:
@@ -227,15 +240,17 @@ def _spans(raw_len: int, cover: list[np.ndarray]) -> tuple[np.ndarray, np.ndarra
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-_DONE = "_row long, done boolean, n_bytes long, n_removed long, n_spans long, kept_sha256 string, raw binary, weight int, cover array<long>, open array<long>"
+_LONGS = pa.list_(pa.int64())
+_DONE = {
+    "_row": (T.LongType(), pa.int64()), "done": (T.BooleanType(), pa.bool_()), "n_bytes": (T.LongType(), pa.int64()),
+    "n_removed": (T.LongType(), pa.int64()), "n_spans": (T.LongType(), pa.int64()), "kept_sha256": (T.StringType(), pa.string()),
+    "raw": (T.BinaryType(), pa.binary()), "weight": (T.IntegerType(), pa.int32()),
+    "cover": (T.ArrayType(T.LongType()), _LONGS), "open": (T.ArrayType(T.LongType()), _LONGS),
+}
 
 
-def _finish(last: bool, with_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Cut texts that have no blocks to refine, hand on the others."""
-    longs = pa.list_(pa.int64())
-    schema = pa.schema([
-        ("_row", pa.int64()), ("done", pa.bool_()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-        ("kept_sha256", pa.string()), ("raw", pa.binary()), ("weight", pa.int32()), ("cover", longs), ("open", longs)])
+def _finish(state: DataFrame, last: bool, with_text: bool) -> DataFrame:
+    """Cut texts that have no blocks to refine, hand on the others; `keep` goes along."""
 
     def result(r: dict) -> dict:
         raw, n = r["raw"], len(r["raw"])
@@ -251,43 +266,54 @@ def _finish(last: bool, with_text: bool) -> Callable[[Iterator[pa.RecordBatch]],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, len(whole), 500):
-                made = []
-                for r in whole.slice(at, 500).to_pylist():
+            for first in range(0, len(whole), 500):
+                batch = whole.slice(first, 500)
+                keep, made, of = batch.column("keep"), [], []
+                for i, r in enumerate(batch.drop_columns(["keep"]).to_pylist()):
                     copied = r["weight"] > 1 and len(r["raw"]) >= LENGTH
                     pending = not last and r["first"] and bool(r["open"])
                     if copied or not pending:
                         made.append(result(r))
+                        of.append(i)
                     if pending:  # also a text that is copied: others need it as a witness
                         made.append({"_row": r["_row"], "done": False} | {k: r[k] for k in ("raw", "weight", "cover", "open")})
-                yield pa.RecordBatch.from_pylist(made, schema)
+                        of.append(i)
+                columns = [pa.array([m.get(n) for m in made], t) for n, (_, t) in _DONE.items()]
+                yield pa.RecordBatch.from_arrays([*columns, keep.take(pa.array(of, pa.int64()))], [*_DONE, "keep"])
 
-    return run
+    fields = [T.StructField(n, k) for n, (k, _) in _DONE.items()]
+    return state.mapInArrow(run, T.StructType([*fields, state.schema["keep"]]))
 
 
 def _cut(docs: DataFrame, text: str, with_text: bool) -> DataFrame:
-    """`_row`, `n_bytes`, `n_removed`, `n_spans`, `kept_sha256` and, if asked for, `raw`, of
-    documents with a row key."""
-    raw = docs.select("_row", text_of(text).cast("binary").alias("raw"))
-    items = raw.mapInArrow(_first_items, _ITEM)
-    repeated = items.groupBy("core").count().filter("count > 1").select("core")
+    """`n_bytes`, `n_removed`, `n_spans`, `kept_sha256`, if asked for `raw`, and `keep`, a
+    struct of the document's columns other than the text (and whether that is null)."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    keyed = with_row(docs.select(
+        text_of(text).cast("binary").alias("raw"), F.struct(*others, F.col(text).isNull().alias("_null")).alias("keep")))
+    raw = keyed.select("_row", "raw")
+    cores = raw.select("raw").mapInArrow(_first_cores, "core long")
+    repeated = cores.groupBy("core").count().filter("count > 1").select("core")
     # Equal texts: the first row stands for all, the others are not looked at again.
     copies = raw.groupBy(F.md5("raw").alias("digest")).agg(F.min("_row").alias("_row"), F.count("*").alias("copies"))
     copies = copies.select("_row", F.least("copies", F.lit(2)).cast("int").alias("copies"))
     firsts = stored(copies, "first-texts")
     blocks = stored(
-        items.join(repeated, "core").drop("weight").join(firsts.withColumnRenamed("copies", "weight"), "_row"), "blocks")
+        raw.mapInArrow(_first_items, _ITEM).join(repeated, "core").drop("weight")
+        .join(firsts.withColumnRenamed("copies", "weight"), "_row"), "blocks")
     lists = _by_row(_mark(blocks))
-    state = raw.join(lists, "_row", "left").join(firsts, "_row", "left")
-    state = state.select(
-        "_row", "raw", F.coalesce("copies", F.lit(2)).alias("weight"), F.col("copies").isNotNull().alias("first"), "cover", "open")
-    results = stored(state.mapInArrow(_finish(False, with_text), _DONE), "cut")
-    pending = results.filter("NOT done").select("_row", "raw", "weight", "cover", "open")
-    texts = pending.select("_row", "raw", "weight")
+    state = keyed.join(lists, "_row", "left").join(firsts, "_row", "left").select(
+        "_row", "raw", "keep", F.coalesce("copies", F.lit(2)).alias("weight"), F.col("copies").isNotNull().alias("first"), "cover", "open")
+    results = stored(_finish(state, False, with_text), "cut")
+    pending = results.filter("NOT done").select("_row", "raw", "weight", "cover", "open", "keep")
+    texts = pending.select("_row", "raw", "weight", "keep")
     covers = [pending.select("_row", "cover")]
     now = pending
     for size in LEVELS:
-        marked = stored(_by_row(_mark(now.select("_row", "raw", "weight", "open").mapInArrow(_refined_items(size), _ITEM))), f"blocks-{size}")
+        # Read three times, so kept on the executors' disks; a lost one is made again.
+        items = now.select("_row", "raw", "weight", "open").mapInArrow(_refined_items(size), _ITEM).persist(StorageLevel.DISK_ONLY)
+        marked = stored(_by_row(_mark(items)), f"blocks-{size}")
+        items.unpersist()
         covers.append(marked.select("_row", "cover"))
         now = texts.join(marked.filter(F.size("open") > 0).select("_row", "open"), "_row")
     union = covers[0]
@@ -297,24 +323,22 @@ def _cut(docs: DataFrame, text: str, with_text: bool) -> DataFrame:
     # A copied text is removed whole already.
     whole = (F.col("weight") > 1) & (F.octet_length("raw") >= LENGTH)
     rest = texts.filter(~whole).join(final, "_row").select(
-        "_row", "raw", "weight", F.lit(True).alias("first"), "cover", F.array().cast("array<long>").alias("open"))
-    columns = ["_row", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["raw"] if with_text else [])]
-    return results.filter("done").select(columns).unionByName(rest.mapInArrow(_finish(True, with_text), _DONE).select(columns))
+        "_row", "raw", "keep", "weight", F.lit(True).alias("first"), "cover", F.array().cast("array<long>").alias("open"))
+    columns = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "keep", *(["raw"] if with_text else [])]
+    return results.filter("done").select(columns).unionByName(_finish(rest, True, with_text).select(columns))
 
 
 def repeated_bytes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add `n_bytes`, `n_removed`, `n_spans` and `kept_sha256` to every document."""
+    """Every document's columns but the text, with `n_bytes`, `n_removed`, `n_spans` and
+    `kept_sha256`."""
     outputs = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
-    keyed = with_row(docs.drop(*outputs))
-    return keyed.join(_cut(keyed, text, with_text=False), "_row").drop("_row")
+    rows = _cut(docs.drop(*outputs), text, with_text=False)
+    return rows.select("keep.*", *outputs).drop("_null")
 
 
 def remove(docs: DataFrame, text: str = "text") -> DataFrame:
     """Replace the text by what is left of it; null stays null. Bytes of characters that
     were cut in two are dropped."""
-    keyed = with_row(docs)
-    left = _cut(keyed, text, with_text=True).select("_row", F.col("raw").alias("_raw"))
-    kept = F.col("_raw").cast("string")
-    return (
-        keyed.join(left, "_row").withColumn(text, F.when(F.col(text).isNotNull(), kept)).select(*docs.columns)
-    )
+    rows = _cut(docs, text, with_text=True)
+    return rows.select(F.when(~F.col("keep._null"), F.col("raw").cast("string")).alias(text), "keep.*").select(
+        *[f"`{c}`" for c in docs.columns])
