@@ -4,9 +4,9 @@ A page is a sequence of words and tags. Words score positive and tags negative;
 scan finds the contiguous stretch with the largest sum, which is the content region. The
 weights come from labelled pages, those that mark their main part with an `article` or
 `main` element: the log odds of each tag name inside and outside the label, and one scale
-for all tags, the one with which the scan finds the labelled parts best. Inside the region
-the words are put together as blocks; elements that are never content (scripts, forms,
-menus, notices, adverts, comments) are left out there too.
+for all tags, the one with which the scan finds the labelled parts best. Elements that are never content, by their name or class (scripts,
+forms, menus, notices, adverts, comments), count nothing in the scan and are left out; the
+words of the region that remain are put together as blocks.
 
 Cases: null or empty html gives empty text; a page without tags is all content; unclosed
 tags, comments and scripts end with the page; of equal stretches the first wins; without
@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.common import few_by_hash
+
 #: Elements whose content is raw text.
 RAW = frozenset("script style noscript template svg iframe textarea select".split())
 #: Elements and names of classes, ids or roles that are not content wherever they stand.
@@ -35,7 +37,7 @@ _NAMES = re.compile(
 #: Elements inside a line of text; all others divide blocks.
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd mark q s samp small span strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: The element left by these is closed by the next of its kind.
+#: Weight of a tag where nothing was learned.
 PRIOR = -2.0
 SCALES = (0.25, 0.5, 1.0, 2.0, 4.0, 8.0, 16.0)
 
@@ -138,30 +140,50 @@ def _odds(a: float, b: float) -> float:
     return log(a / b)
 
 
-def region_text(found: list[tuple[str, str, str]], span: tuple[int, int]) -> str:
-    """Blocks of a region in page order, joined by one space."""
-    parts: list[str] = []
-    skip: list[str] = []
-    for i, (kind, name, text) in enumerate(found):
-        if skip:
-            if kind == "open" and name == skip[0] and name not in VOID:
-                skip.append(name)
-            elif kind == "close" and name == skip[0]:
-                skip.pop()
+def left_out(found: list[tuple[str, str, str]]) -> list[bool]:
+    """Which tokens belong to elements that are never content. An element counts only if it
+    is closed; a header inside the article is the article's own."""
+    out = [False] * len(found)
+    closed = Counter(name for kind, name, _ in found if kind == "close")
+    article, i = 0, 0
+    while i < len(found):
+        kind, name, text = found[i]
+        article += (kind == "open") - (kind == "close") if name in ("article", "main") else 0
+        if kind != "open" or name in VOID:
+            i += 1
             continue
-        if not span[0] <= i < span[1]:
+        if name in RAW:
+            out[i] = True
+            i += 1
             continue
-        if kind == "text":
+        names = " ".join(next(filter(None, m.groups()), "") for m in _ATTRIBUTE.finditer(text)) if text else ""
+        never = name in BOILERPLATE and not (name == "header" and article > 0) or names and _NAMES.search(names)
+        end, depth = i, 0
+        if never and closed[name]:
+            for j in range(i, len(found)):
+                if found[j][1] == name:
+                    depth += (found[j][0] == "open") - (found[j][0] == "close")
+                    if depth == 0:
+                        end = j
+                        break
+        if end > i:
+            out[i:end + 1] = [True] * (end + 1 - i)
+        i = end + 1
+    return out
+
+
+def main_text(page: str, w: Weights) -> str:
+    """The blocks of the best stretch in page order, joined by one space."""
+    found = tokens(page)
+    out = left_out(found)
+    # What is never content neither makes a stretch better nor breaks it.
+    a, b = best_stretch([0.0 if o else score(*t, w) for t, o in zip(found, out)])
+    parts = []
+    for (kind, name, text), o in zip(found[a:b], out[a:b]):
+        if kind == "text" and not o:
             parts.append(text)
-            continue
-        if name not in INLINE:
+        elif kind != "text" and name not in INLINE:
             parts.append("\n")
-        if kind == "open" and name not in VOID:
-            if name in RAW:
-                continue
-            names = " ".join(next(filter(None, m.groups()), "") for m in _ATTRIBUTE.finditer(text))
-            if name in BOILERPLATE or names and _NAMES.search(names):
-                skip = [name]
     return " ".join(html.unescape("".join(parts)).split())
 
 
@@ -169,14 +191,10 @@ def extract(pages: DataFrame, weights: Weights, column: str = "html") -> DataFra
     """Add `text` and `n_chars` (code points)."""
 
     @F.pandas_udf("string")
-    def main_text(raw: pd.Series) -> pd.Series:
-        made = []
-        for page in raw:
-            found = tokens(page)
-            made.append(region_text(found, best_stretch([score(*t, weights) for t in found])))
-        return pd.Series(made, dtype=object)
-
-    return pages.withColumn("text", main_text(F.coalesce(F.col(column), F.lit("")))).withColumn(
+    def texts(raw: pd.Series) -> pd.Series:
+        return pd.Series([main_text(page, weights) for page in raw], dtype=object)
+
+    return pages.withColumn("text", texts(F.coalesce(F.col(column), F.lit("")))).withColumn(
         "n_chars", F.length("text").cast("long"))
 
 
@@ -184,5 +202,4 @@ def labelled_sample(pages: DataFrame, rows: int = 400, longest: int = 200_000, c
     """At most `rows` pages that mark their main part, chosen by hash; longer pages than
     `longest` characters are not learned from. Bounds what the driver gets."""
     marked = pages.filter(F.col(column).rlike(r"(?i)<(article|main)[\s>]") & (F.length(column) <= longest))
-    few = marked.select(F.xxhash64(column).alias("_hash"), column).orderBy("_hash", column).limit(rows)
-    return [r[column] for r in few.collect()]
+    return [r[column] for r in few_by_hash(marked.select(column), rows, column).collect()]

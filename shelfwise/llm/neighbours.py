@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import stored, with_row
+from shelfwise.llm.common import few_by_hash, stored, with_row
 from shelfwise.llm.components import components
 
 BLOCK = 64
@@ -250,7 +250,7 @@ def _counted(members: DataFrame, threshold: float) -> DataFrame:
 def audit(nodes: DataFrame, found: DataFrame, settings: Settings) -> float:
     """Recall of the links of a bounded sample of nodes against all nodes. `found`: `_row`
     and `links` (vectors linked with the node, its own copies aside)."""
-    few = nodes.orderBy(F.xxhash64(F.lit(17), "_row")).limit(settings.audited).collect()
+    few = few_by_hash(nodes, settings.audited, "_row").collect()
     if not few:
         return 1.0
     by: dict[str, tuple[list[int], list[bytes]]] = {}
