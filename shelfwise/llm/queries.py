@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, htmltext, langid, mixing, neardup, neighbours, packing, simhash, suffixdedup, warc
+from shelfwise.llm import bpe, htmltext, langid, mixing, neardup, neighbours, oracles, packing, simhash, suffixdedup, warc
 from shelfwise.llm.common import read, shared_folder, stored
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -64,15 +64,19 @@ def op7_embedding_near_duplicates(spark, folder):
 def op8_warc_captures(spark, folder):
     path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     warc.write(read(spark, folder, "pages").select("page_id", "url", "html"), path, least_bytes=0)
-    captures = warc.page_ids(warc.assemble(warc.records(spark, path)))
+    found = warc.records(spark, path)
+    # The digests need the payloads once; only the metadata's block goes on.
+    facts = stored(found.withColumns({
+        "payload_digest": F.when(F.col("type") == "response", warc.base32_sha1(F.col("payload")))
+        .otherwise(F.regexp_replace("payload_digest", "^sha1:", "")),
+        "payload": F.when(F.col("type") == "metadata", F.col("payload"))}), "warc-records")
+    captures = warc.page_ids(warc.assemble(facts))
     responses = captures.filter("type = 'response'").select(
         F.col("capture_id").alias("of"), F.col("page_id").alias("refers_to"))
-    facts = captures.select(
-        "page_id", F.col("http_length").alias("payload_bytes"),
-        F.when(F.col("type") == "response", warc.base32_sha1(F.col("payload")))
-        .otherwise(F.regexp_replace("payload_digest", "^sha1:", "")).alias("payload_digest"),
-        F.col("type").alias("record_type"), F.col("refers_to").alias("_of"))
-    return facts.join(responses, F.col("_of") == F.col("of"), "left").drop("_of", "of")
+    rows = captures.select(
+        "page_id", F.col("http_length").alias("payload_bytes"), "payload_digest", F.col("type").alias("record_type"),
+        F.col("refers_to").alias("_of"))
+    return rows.join(responses, F.col("_of") == F.col("of"), "left").drop("_of", "of")
 
 
 def op9_packing(spark, folder):
@@ -97,4 +101,7 @@ QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_near_duplicates, op3_source_mix, op4_fingerprints, op5_language_id, op6_main_text, op7_embedding_near_duplicates, op8_warc_captures, op9_packing,
     op10_repeated_passages)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_embedding_near_duplicates": oracles.EMBEDDING_NEAR_DUPLICATES,
+    "op8_warc_captures": oracles.WARC_CAPTURES,
+}
