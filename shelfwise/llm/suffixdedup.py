@@ -301,7 +301,7 @@ def _cut(docs: DataFrame, text: str, with_text: bool) -> DataFrame:
     blocks = stored(
         raw.mapInArrow(_first_items, _ITEM).join(repeated, "core").drop("weight")
         .join(firsts.withColumnRenamed("copies", "weight"), "_row"), "blocks")
-    lists = _by_row(_mark(blocks))
+    lists = stored(_by_row(_mark(blocks)), "lists")
     state = keyed.join(lists, "_row", "left").join(firsts, "_row", "left").select(
         "_row", "raw", "keep", F.coalesce("copies", F.lit(2)).alias("weight"), F.col("copies").isNotNull().alias("first"), "cover", "open")
     results = stored(_finish(state, False, with_text), "cut")
