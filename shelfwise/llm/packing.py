@@ -45,7 +45,7 @@ class Limits:
 BLOCK_DOCS = 1024
 BLOCK_TOKENS = 4_000_000
 #: Pieces whose ids a worker keeps.
-CACHED = 400_000
+CACHED = 120_000
 
 
 class Encoder:
