@@ -3,14 +3,17 @@
 Vectors of one label (and length) form one graph. Lists of nearest neighbours start from
 random-projection leaves and are refined by local joins: whoever shares a neighbour is
 compared. A list whose entries all reach the threshold is saturated and gets twice the
-room in the next round. Links are the list entries at or above the threshold.
+room in the next round. Rounds go on until few lists change. Links are the list entries at
+or above the threshold.
 
 Where lists were saturated, the linked set is what they are enlarged to in the end: its
 members are compared block by block with each other, and only their numbers of links are
 kept, so no set's pairs are written out. Equal vectors are one node with a count.
 
-`audit` compares a bounded sample of vectors with all others and gives the recall; below
-`wanted` the graph gets longer lists and more leaves, and the descent is run again.
+`audit` compares bounded samples of vectors, of large sets and of the others apart, with
+all others and gives the lower mean recall of a linked vector; below `wanted` the graph is
+descended again from the links found so far, other leaves and longer lists. A graph that
+stays below is an error.
 
 Comparisons run in blocks of `BLOCK` rows inside tasks; a leaf or neighbourhood of any size
 is a sequence of blocks, so no group has to fit into memory.
@@ -24,7 +27,7 @@ an empty result; extra columns stay, a column named like an output is replaced.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +46,25 @@ OFFERS = 4
 class Settings:
     threshold: float = 0.93
     neighbours: int = 10
-    trees: int = 4
-    rounds: int = 3
+    trees: int = 4  # at least; `trees_of` adds more for deep leaves
+    growths: int = 3  # doublings of a saturated list; its set is counted exactly
+    changed: float = 0.01  # share of lists that may still change in the last round
+    rounds: int = 30  # by then an error
     leaf: int = 48
     audited: int = 400
     wanted: float = 0.95
-    tries: int = 2
+    tries: int = 4
+
+
+def depth_of(largest: int, leaf: int) -> int:
+    return max(0, int(np.ceil(np.log2(max(1.0, largest / leaf)))))
+
+
+def trees_of(settings: Settings, depth: int, split: float = 0.12, missed: float = 0.05) -> int:
+    """So many that a pair which each plane splits with chance `split` shares no leaf with
+    chance `missed` at most."""
+    together = (1 - split) ** depth
+    return max(settings.trees, int(np.ceil(np.log(missed) / np.log1p(-together))) if together < 1 else 1)
 
 
 _NODE = "_row long, label string, vec binary"
@@ -158,9 +174,9 @@ def _planes(nodes: DataFrame, count: int, seed: int) -> dict[int, list[tuple[np.
 
 def _leaves(nodes: DataFrame, settings: Settings, largest: int, seed: int) -> DataFrame:
     """Each node in one leaf of each tree, with a place in it: `leaf`, `place`, `_row`, `vec`."""
-    depth = max(0, int(np.ceil(np.log2(max(1.0, largest / settings.leaf)))))
-    planes = nodes.sparkSession.sparkContext.broadcast(_planes(nodes, settings.trees * (depth + 1), seed))
-    trees = settings.trees
+    depth = depth_of(largest, settings.leaf)
+    trees = trees_of(settings, depth)
+    planes = nodes.sparkSession.sparkContext.broadcast(_planes(nodes, trees * (depth + 1), seed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,8 +199,9 @@ def _leaves(nodes: DataFrame, settings: Settings, largest: int, seed: int) -> Da
     return nodes.mapInArrow(run, "leaf string, place double, _row long, vec binary")
 
 
-def descend(nodes: DataFrame, settings: Settings, seed: int = 1) -> DataFrame:
-    """Neighbour lists (`a`, `b`, `sim`) of the nodes, and `room`, the list's size."""
+def descend(nodes: DataFrame, settings: Settings, seed: int = 1, known: DataFrame | None = None) -> DataFrame:
+    """Neighbour lists (`a`, `b`, `sim`) of the nodes, and `room`, the list's size. `known`:
+    lists of an earlier descent, whose entries are kept and whose room does not shrink."""
     largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     placed = _leaves(nodes, settings, largest, seed)
     first = placed.withColumn("floor", F.lit(-1.0)).select("leaf", "_row", "vec", "floor", "place")
@@ -193,6 +210,13 @@ def descend(nodes: DataFrame, settings: Settings, seed: int = 1) -> DataFrame:
         .mapInArrow(_offers(1), "a long, b long, sim double")
     )
     room = nodes.select("_row", F.lit(settings.neighbours).alias("room"))
+    if known is not None:
+        pairs = pairs.unionByName(known.select("a", "b", "sim"))
+        had = known.groupBy("a").agg(F.max("room").alias("had"))
+        room = stored(nodes.join(had, nodes["_row"] == had["a"], "left").select(
+            "_row", F.greatest(F.lit(settings.neighbours), "had").alias("room")), "room")
+    most = settings.neighbours << settings.growths
+    few = settings.changed * nodes.count()
     lists = stored(_best(pairs, room), "lists")
     for step in range(settings.rounds):
         state = lists.groupBy("a").agg(F.count("*").alias("n"), F.min("sim").alias("least"))
@@ -201,12 +225,20 @@ def descend(nodes: DataFrame, settings: Settings, seed: int = 1) -> DataFrame:
         grown = full & (F.col("least") >= settings.threshold)
         floors = held.select(
             "_row", "vec", F.when(grown, settings.threshold - 1e-12).when(full, F.col("least")).otherwise(-1.0).alias("floor"))
-        room = stored(held.select("_row", F.when(grown, F.col("room") * 2).otherwise(F.col("room")).alias("room")), "room")
+        more = F.greatest("room", F.least(F.col("room") * 2, F.lit(most)))
+        room = stored(held.select(
+            "_row", F.when(grown, more).otherwise(F.col("room")).alias("room"), (grown & (F.col("room") >= most)).alias("done")), "room")
         both = lists.select(F.col("a").alias("hub"), F.col("b").alias("_row")).unionByName(
             lists.select(F.col("b").alias("hub"), F.col("a").alias("_row"))).distinct()
         joined = both.join(floors, "_row").select("hub", "_row", "vec", "floor", F.xxhash64(F.lit(step), "hub", "_row").alias("place"))
         offers = joined.repartition("hub").sortWithinPartitions("hub", "place").mapInArrow(_offers(1), "a long, b long, sim double")
-        lists = stored(_best(lists.unionByName(offers), room), "lists")
+        before, lists = lists, stored(_best(lists.unionByName(offers), room), "lists")
+        # A list that is at its largest and saturated belongs to a set that is counted.
+        new = lists.join(before, ["a", "b"], "left_anti").join(room.filter("not done"), F.col("a") == F.col("_row"), "left_semi")
+        if new.select("a").distinct().count() <= few:
+            break
+    else:
+        raise RuntimeError(f"the neighbour lists still changed after {settings.rounds} rounds")
     return lists.join(room, lists["a"] == room["_row"]).select("a", "b", "sim", "room")
 
 
@@ -248,9 +280,12 @@ def _counted(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def audit(nodes: DataFrame, found: DataFrame, settings: Settings) -> float:
-    """Recall of the links of a bounded sample of nodes against all nodes. `found`: `_row`
-    and `links` (vectors linked with the node, its own copies aside)."""
-    few = few_by_hash(nodes, settings.audited, "_row").collect()
+    """The lower of two recalls, each the mean over a bounded sample of nodes with a true
+    link against all nodes: of large sets, and of all others. `found`: `_row`, `links`
+    (vectors linked with the node, its own copies aside) and `large`."""
+    of = found.filter("large").select("_row")
+    few = [r for how in ("left_semi", "left_anti")
+           for r in few_by_hash(nodes.join(of, "_row", how), settings.audited, "_row").collect()]
     if not few:
         return 1.0
     by: dict[str, tuple[list[int], list[bytes]]] = {}
@@ -258,7 +293,7 @@ def audit(nodes: DataFrame, found: DataFrame, settings: Settings) -> float:
         ids, vecs = by.setdefault(r["label"], ([], []))
         ids.append(r["_row"])
         vecs.append(bytes(r["vec"]))
-    shared = nodes.sparkSession.sparkContext.broadcast(by)  # `audited` vectors
+    shared = nodes.sparkSession.sparkContext.broadcast(by)  # 2 * `audited` vectors
     threshold = settings.threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,9 +312,9 @@ def audit(nodes: DataFrame, found: DataFrame, settings: Settings) -> float:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["_row", "truth"])
 
     truth = nodes.mapInArrow(run, "_row long, truth long").groupBy("_row").agg(F.sum("truth").alias("truth"))
-    both = truth.join(found, "_row", "left").agg(
-        F.sum("truth").alias("all"), F.sum(F.least("truth", F.coalesce("links", F.lit(0)))).alias("got")).first()
-    return 1.0 if not both["all"] else both["got"] / both["all"]
+    share = F.least(F.lit(1.0), F.coalesce("links", F.lit(0)) / F.col("truth"))
+    each = truth.filter("truth > 0").join(found, "_row", "left").groupBy("large").agg(F.avg(share).alias("recall")).collect()
+    return min([r["recall"] for r in each], default=1.0)
 
 
 def near_duplicates(
@@ -292,9 +327,10 @@ def near_duplicates(
     same = member.groupBy("label", "_name").agg(F.min("_row").alias("node"), F.count("*").alias("copies"))
     of = stored(member.select("_row", "label", "_name").join(same, ["label", "_name"]).select("_row", "node", "copies"), "nodes")
     nodes = stored(member.join(of.filter("_row = node").select("_row", "copies"), "_row").select("_row", "label", "vec", "copies"), "node-vectors")
+    lists = None
     for attempt in range(settings.tries):
-        more = Settings(**(settings.__dict__ | {"neighbours": settings.neighbours << attempt, "trees": settings.trees << attempt}))
-        lists = stored(descend(nodes.select("_row", "label", "vec"), more, seed=attempt + 1), "graph")
+        more = replace(settings, neighbours=settings.neighbours << attempt, trees=settings.trees << attempt)
+        lists = stored(descend(nodes.select("_row", "label", "vec"), more, attempt + 1, lists), "graph")
         close = lists.filter(F.col("sim") >= settings.threshold)
         pairs = close.select("a", "b").unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
         sets = stored(components(pairs), "sets")
@@ -308,10 +344,12 @@ def near_duplicates(
         exact = _counted(large, settings.threshold).withColumnRenamed("links", "exact")
         found = stored(
             root.select("_row", "set").join(plain, "_row", "left").join(exact, "_row", "left")
-            .select("_row", "set", F.coalesce("exact", "links", F.lit(0)).alias("links")), "links")
+            .select("_row", "set", F.coalesce("exact", "links", F.lit(0)).alias("links"), F.col("exact").isNotNull().alias("large")), "links")
         recall = audit(nodes, found, settings)
         if recall >= settings.wanted:
             break
+    else:
+        raise RuntimeError(f"recall {recall:.3f} after {settings.tries} descents, {settings.wanted} wanted")
     ids = of.join(found.select(F.col("_row").alias("node"), "set", "links"), "node").join(
         keyed.select("_row", F.col(key).alias("_id")), "_row")
     least = ids.groupBy("set").agg(F.min("_id").alias("component_id"))

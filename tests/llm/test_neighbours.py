@@ -83,3 +83,32 @@ def test_equal_vectors(spark, copies):
 def test_empty(spark):
     found, recall = neighbours.near_duplicates(cases.empty(spark.createDataFrame([(1, [1.0], 1)], SCHEMA)))
     assert found.count() == 0 and recall == 1.0
+
+
+def nodes_of(spark, rows):
+    return spark.createDataFrame([(i, "1", np.array(v, float).tobytes(), 1) for i, v in rows], "_row long, label string, vec binary, copies long")
+
+
+def test_recall_of_small_groups_is_not_hidden_by_a_large_set(spark):
+    rng = np.random.default_rng(3)
+    unit = lambda v: v / np.linalg.norm(v)
+    hot = [unit(np.eye(16)[0] + rng.normal(size=16) * 0.01) for _ in range(60)]
+    small = [unit(c + rng.normal(size=16) * 0.01) for c in rng.normal(size=(10, 16)) * 4 for _ in range(2)]
+    nodes = nodes_of(spark, enumerate(hot + small))
+    # Everything of the large set was found, nothing of the pairs.
+    found = spark.createDataFrame([(i, 59 if i < 60 else 0, i < 60) for i in range(80)], "_row long, links long, large boolean")
+    assert neighbours.audit(nodes, found, neighbours.Settings()) == 0.0
+
+
+def test_low_recall_is_an_error(spark, monkeypatch):
+    table = spark.createDataFrame(vectors(2, 60), SCHEMA)
+    monkeypatch.setattr(neighbours, "audit", lambda *a: 0.5)
+    with pytest.raises(RuntimeError, match="recall 0.500"):
+        neighbours.near_duplicates(table, neighbours.Settings(tries=2))
+
+
+def test_trees_follow_the_depth():
+    settings = neighbours.Settings()
+    for n in (10**3, 10**6, 10**9):
+        depth = neighbours.depth_of(n, settings.leaf)
+        assert (1 - 0.88**depth) ** neighbours.trees_of(settings, depth) <= 0.05
