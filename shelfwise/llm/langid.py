@@ -4,8 +4,10 @@ A text's letters are cut into byte n-grams (1 to 3, words apart), hashed into `B
 counts, weighted by TF-IDF and normalised. Each language has several centroids, found by
 spherical k-means over a bounded sample of labelled rows (`per_language`, chosen by a hash
 of the text, so that reruns agree). The prediction is the language of the centroid with the
-largest cosine; a text farther than `reject_below` from every centroid is rejected. That
-bound is `slack` times the smallest cosine of a sampled text to its own language.
+largest cosine; a text whose cosine is below that language's bound is rejected. A bound holds
+for a language and a class of length (the power of two of the text's distinct n-grams, as
+short texts lie farther): `slack` times a low quantile of the cosines of sampled texts to
+centroids of their language that were found without them.
 
 Cases: text that is null or has no letter is `und`, score 0 and rejected; with nothing to
 learn from, every text is; null languages are not learned; ties go to the language first in
@@ -29,6 +31,8 @@ BUCKETS = 4096
 UNKNOWN = "und"
 #: Texts turned into vectors at a time.
 CHUNK = 256
+#: Classes of length: 2**b distinct n-grams and more.
+CLASSES = 13
 
 _not_letters = re.compile(r"[\W\d_]+")
 
@@ -64,7 +68,17 @@ class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
     idf: np.ndarray
-    reject_below: float
+    bounds: np.ndarray  # of each centroid and class of length
+
+    @property
+    def reject_below(self) -> float:
+        """The least bound."""
+        return float(self.bounds.min()) if self.bounds.size else 0.0
+
+
+def length_class(x: np.ndarray) -> np.ndarray:
+    """The class of each row by its distinct n-grams."""
+    return np.log2(np.maximum((x > 0).sum(axis=1), 1)).astype(int)
 
 
 def clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -80,8 +94,42 @@ def clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
+def held_out(x: np.ndarray, k: int, folds: int = 3) -> np.ndarray:
+    """The cosine of each row to centroids of the rows of other folds; NaN for too few rows."""
+    out = np.full(len(x), np.nan)
+    if len(x) >= 2 * folds:
+        own = np.arange(len(x)) % folds
+        for f in range(folds):
+            out[own == f] = (x[own == f] @ clusters(x[own != f], k).T).max(axis=1)
+    return out
+
+
+def bounds_of(cosines: list[np.ndarray], classes: list[np.ndarray], slack: float, quantile: float, least: int = 5) -> np.ndarray:
+    """Bounds of each language and class of length. A class with fewer than `least` texts of
+    a language takes all languages' texts; one with too few of these as well the class
+    before, and before the first known class the bound falls with the root of the length."""
+    def low(c: np.ndarray, k: np.ndarray, b: int) -> float:
+        c = c[(k == b) & ~np.isnan(c)]
+        return slack * float(np.quantile(c, quantile)) if len(c) >= least else np.nan
+
+    every = np.concatenate(cosines), np.concatenate(classes)
+    pooled = [low(*every, b) for b in range(CLASSES)]
+    own = np.array([[v if not np.isnan(v := low(c, k, b)) else pooled[b] for b in range(CLASSES)] for c, k in zip(cosines, classes)])
+    for row in own:
+        known = np.flatnonzero(~np.isnan(row))
+        if not len(known):  # nothing to go by: far below any text that shares its words
+            row[:] = 0.25 * slack
+            continue
+        for b in range(known[0] - 1, -1, -1):
+            row[b] = row[b + 1] / np.sqrt(2)
+        for b in range(known[0] + 1, CLASSES):
+            row[b] = row[b - 1] if np.isnan(row[b]) else row[b]
+    return own
+
+
 def fit(
-    labelled: DataFrame, per_language: int = 300, k: int = 3, slack: float = 0.5, most_languages: int = 500
+    labelled: DataFrame, per_language: int = 300, k: int = 3, slack: float = 0.6, most_languages: int = 500,
+    quantile: float = 0.05,
 ) -> Model:
     """Learn from columns `text` and `lang`. The driver gets one row per language and the
     counts of at most `per_language` texts of each, one language at a time."""
@@ -91,7 +139,7 @@ def fit(
     if len(sizes) > most_languages:
         raise ValueError(f"more than {most_languages} languages")
     if not sizes:
-        return Model([], np.zeros((0, BUCKETS), np.float32), np.ones(BUCKETS, np.float32), 0.0)
+        return Model([], np.zeros((0, BUCKETS), np.float32), np.ones(BUCKETS, np.float32), np.zeros((0, CLASSES)))
     # Twice the wanted share passes the hash, then the first by hash are kept.
     u = F.shiftrightunsigned("_hash", 11).cast("double") / float(1 << 53)
     share = F.create_map([F.lit(v) for r in sizes for v in (r["lang"], min(1.0, 2.0 * per_language / r["count"] + 50 / r["count"]))])
@@ -113,20 +161,23 @@ def fit(
     sample = few.mapInPandas(count, "lang string, hash long, at binary, n binary").toPandas()
     sample = sample.sort_values(["lang", "hash", "at"], ignore_index=True)
     if not len(sample):
-        return Model([], np.zeros((0, BUCKETS), np.float32), np.ones(BUCKETS, np.float32), 0.0)
+        return Model([], np.zeros((0, BUCKETS), np.float32), np.ones(BUCKETS, np.float32), np.zeros((0, CLASSES)))
     x = np.zeros((len(sample), BUCKETS), dtype=np.float32)
     for i, (at, n) in enumerate(zip(sample["at"], sample["n"])):
         x[i, np.frombuffer(at, "<u2")] = np.frombuffer(n, "<u4")
     idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1).astype(np.float32)
     x = np.log1p(x) * idf
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    names, found, nearest = [], [], []
+    names, found, sizes, cosines, classes = [], [], [], [], []
     for lang, at in sorted(sample.groupby("lang", sort=True).indices.items()):
         c = clusters(x[at], k)
         names += [lang] * len(c)
         found.append(c)
-        nearest.append((x[at] @ c.T).max(axis=1).min())
-    return Model(names, np.concatenate(found), idf, float(slack * min(nearest)))
+        sizes.append(len(c))
+        cosines.append(held_out(x[at], k))
+        classes.append(length_class(x[at]))
+    bounds = np.repeat(bounds_of(cosines, classes, slack, quantile), sizes, axis=0)
+    return Model(names, np.concatenate(found), idf, bounds)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -145,12 +196,13 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     cosine = x @ m.centroids.T
                     best = cosine.argmax(axis=1)
                     score = np.clip(cosine[np.arange(len(x)), best], 0, 1).astype(float)
+                    bound = m.bounds[best, length_class(x)]
                 else:
                     best, known = np.zeros(len(x), int), np.zeros(len(x), bool)
-                    score = np.zeros(len(x))
+                    score, bound = np.zeros(len(x)), np.zeros(len(x))
                 lang = [m.languages[j] if ok else UNKNOWN for j, ok in zip(best, known)]
                 parts.append(pd.DataFrame({
-                    "lang": lang, "score": np.where(known, score, 0.0), "rejected": ~known | (score < m.reject_below)}))
+                    "lang": lang, "score": np.where(known, score, 0.0), "rejected": ~known | (score < bound)}))
             yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"lang": [], "score": [], "rejected": []})
 
     return (

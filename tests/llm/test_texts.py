@@ -223,3 +223,21 @@ def test_anchor_blocks_cover_every_window_once():
 def test_languages_of_a_skewed_table(spark, labelled):
     hot = labelled.unionByName(labelled.filter("lang = 'en'").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(9)))).drop("n"))
     assert set(langid.fit(hot, per_language=20).languages) == set(WORDS)
+
+
+def test_latin_script_that_was_not_learned_is_rejected(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    rng = random.Random(7)
+    finnish = "talo vesi kissa juoksee metsässä hyvä päivää minä olen kaunis järvi yö aurinko paistaa taivaalla lapset pihalla".split()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, " ".join(rng.choice(finnish) for _ in range(60))) for i in range(20)]
+    rows += [(20 + i, "".join(rng.choice(letters) for _ in range(300))) for i in range(20)]
+    rows += [(40 + i, "".join(rng.choice("0123456789abcdef") for _ in range(1000))) for i in range(20)]
+    # A dozen labelled tokens far from everything must not lower the bound of longer texts.
+    tokens = [(10**6 + i, "".join(rng.choice(letters) for _ in range(4)), "en") for i in range(12)]
+    model = langid.fit(docs.select("doc_id", "text", "lang").union(spark.createDataFrame(tokens, "doc_id long, text string, lang string")))
+    odd = langid.identify(spark.createDataFrame(rows, "doc_id int, text string"), model).collect()
+    assert all(r["rejected"] for r in odd)
+    clean = [(i, " ".join(r["text"].split()[:6])) for i, r in enumerate(docs.filter("n_chars > 500").limit(100).collect())]
+    short = langid.identify(spark.createDataFrame(clean, "doc_id int, text string"), model).collect()
+    assert sum(r["rejected"] for r in short) <= 2
