@@ -2,8 +2,8 @@
 
 A text's letters are cut into byte n-grams (1 to 3, words apart), hashed into `BUCKETS`
 counts, weighted by TF-IDF and normalised. Each language has several centroids, found by
-spherical k-means over a bounded sample of labelled rows (`per_language`, chosen by a hash
-of the text, so that reruns agree). The prediction is the language of the centroid with the
+spherical k-means over a bounded sample of distinct labelled texts (`per_language`, chosen by
+a hash of the text, so that reruns agree). The prediction is the language of the centroid with the
 largest cosine; a text whose cosine is below that language's bound is rejected. A bound holds
 for a language and a class of length (the power of two of the text's distinct n-grams, as
 short texts lie farther): `slack` times a low quantile of the cosines of sampled texts to
@@ -135,7 +135,8 @@ def fit(
     counts of at most `per_language` texts of each, one language at a time."""
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "lang", "text", F.xxhash64("text").alias("_hash"))
-    sizes = rows.groupBy("lang").count().orderBy("lang").limit(most_languages + 1).collect()
+    # About how many distinct texts: copies of one text take one place of the sample.
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("_hash").alias("count")).orderBy("lang").limit(most_languages + 1).collect()
     if len(sizes) > most_languages:
         raise ValueError(f"more than {most_languages} languages")
     if not sizes:
@@ -143,7 +144,7 @@ def fit(
     # Twice the wanted share passes the hash, then the first by hash are kept.
     u = F.shiftrightunsigned("_hash", 11).cast("double") / float(1 << 53)
     share = F.create_map([F.lit(v) for r in sizes for v in (r["lang"], min(1.0, 2.0 * per_language / r["count"] + 50 / r["count"]))])
-    few = rows.filter(u < share[F.col("lang")])
+    few = rows.filter(u < share[F.col("lang")]).dropDuplicates(["lang", "_hash"])
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash", "text"))
     few = few.withColumn("_rank", rank).filter(F.col("_rank") <= per_language)
 

@@ -241,3 +241,12 @@ def test_latin_script_that_was_not_learned_is_rejected(spark, data):
     clean = [(i, " ".join(r["text"].split()[:6])) for i, r in enumerate(docs.filter("n_chars > 500").limit(100).collect())]
     short = langid.identify(spark.createDataFrame(clean, "doc_id int, text string"), model).collect()
     assert sum(r["rejected"] for r in short) <= 2
+
+
+def test_copies_of_one_text_take_one_place_of_the_sample(spark, labelled):
+    # The German text with the smallest hash, 2,000 times: all its copies pass the cut by hash.
+    first = labelled.filter("lang = 'de'").orderBy(F.shiftrightunsigned(F.xxhash64("text"), 11)).limit(1)
+    hot = labelled.unionByName(first.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(2000)))).drop("n"))
+    alone, crowded = langid.fit(labelled, per_language=20), langid.fit(hot, per_language=20)
+    german = [i for i, lang in enumerate(crowded.languages) if lang == "de"]
+    assert len(german) == 3 and np.allclose(alone.centroids, crowded.centroids, atol=1e-5)
