@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, htmltext, langid, mixing, neardup, neighbours, oracles, packing, simhash, suffixdedup, warc
+from shelfwise.llm import alignment, bpe, conversations, htmltext, langid, mixing, neardup, neighbours, oracles, packing, pii, simhash, suffixdedup, warc
 from shelfwise.llm.common import read, shared_folder, stored
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -92,6 +92,22 @@ def op10_repeated_passages(spark, folder):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_tokenizer_alignment(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return alignment.align(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_conversation_repair(spark, folder):
+    rows = conversations.damage(read(spark, folder, "conversations"))
+    return conversations.audit(rows)
+
+
+def op13_personal_data(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs)
+    return found.select("doc_id", *pii.digest(found))
+
+
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
 
@@ -99,9 +115,10 @@ def pipeline(spark, folder):
 QUERIES = {f.__name__: f for f in (
     pipeline,
     op1_token_counts, op2_near_duplicates, op3_source_mix, op4_fingerprints, op5_language_id, op6_main_text, op7_embedding_near_duplicates, op8_warc_captures, op9_packing,
-    op10_repeated_passages)}
+    op10_repeated_passages, op11_tokenizer_alignment, op12_conversation_repair, op13_personal_data)}
 
 ORACLE_SQL: dict[str, str] = {
     "op7_embedding_near_duplicates": oracles.EMBEDDING_NEAR_DUPLICATES,
     "op8_warc_captures": oracles.WARC_CAPTURES,
+    "op12_conversation_repair": oracles.CONVERSATION_REPAIR,
 }
