@@ -5,13 +5,6 @@ dictionary from end to index. The keys common to both dictionaries, a hash-set
 intersection, are sorted; they slice both id lists into groups. A group's last tokens end
 together, so each slice expands to one link.
 
-A text is read in segments, cut before a space that follows another character: there the
-first tokenizer's pattern always begins a new piece, and no token of the second has a space
-after another character (checked when the model is loaded; if it had, the text would be one
-segment). So both end a token there, and groups, ids and links of a text are those of its
-segments one after the other. Segments repeat like words: a worker keeps those it has met,
-up to `CACHED`, and aligns the new ones of a block of texts together, as one text.
-
 Counting links over all texts takes two steps in Spark. Each text gives its distinct links
 with their number, which are summed by link with a map side. The texts' links are then
 joined with these sums and the best sum of each second id, and added up per text. No text's
@@ -29,11 +22,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import cache
-from itertools import accumulate, chain, count
-from typing import NamedTuple
+from itertools import accumulate, count
 
 import numpy as np
 import pyarrow as pa
@@ -43,132 +34,78 @@ from pyspark.sql import functions as F
 from shelfwise.llm.bpe import byte_symbols
 from shelfwise.llm.common import stored, text_of, with_row
 
-#: Segments a worker keeps, and the longest one kept.
-CACHED = 150_000
-KEPT_CHARS = 40
-#: New segments aligned as one text.
-TOGETHER = 2000
 #: Parts of a frequent link where the sums are joined by a shuffle.
 SALTS = 16
-#: Texts or characters of a block.
+#: Texts or characters after which a batch is handed back.
 _TEXTS, _CHARS = 500, 1_000_000
 
 _SPACE = "▁"
-#: White space before a space that no word follows: a text in which that occurs is cut with care.
-_RUN = re.compile(r"\s (?!\S)|  ").search
 _LONG_WHITE = re.compile(r"\s{1000}").search
-_CUT = re.compile(r"(?<=\S) |(?<=[^\S ]) (?=\S)")
-
-
-class Segment(NamedTuple):
-    """What a segment adds to its text: tokens of both, its groups, each followed by a
-    semicolon, and its links. One that does not come back byte for byte has none."""
+_NOTHING = 0, 0, 0, "", (), ()
 
-    n_first: int
-    n_second: int
-    groups: str
-    links: tuple[int, ...]
 
-
-def common_ends(first_ends: list[int], second_ends: list[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Common ends in order, and how many tokens of either list lie before each."""
-    first_at = dict(zip(first_ends, count(1)))
-    second_at = dict(zip(second_ends, count(1)))
-    ends = sorted(first_at.keys() & second_at.keys())
-    at = [np.fromiter(map(d.__getitem__, ends), np.int64, len(ends)) for d in (first_at, second_at)]
-    return ends, *at
+def common_ends(first_ends: list[int], second_ends: list[int]) -> list[np.ndarray]:
+    """For each common end, in order, how many tokens of either list end there or before."""
+    at = [dict(zip(ends, count(1))) for ends in (first_ends, second_ends)]
+    common = sorted(at[0].keys() & at[1].keys())
+    return [np.fromiter(map(d.__getitem__, common), np.int64, len(common)) for d in at]
 
 
 class Aligner:
-    """Both tokenizers of a worker, the bytes and names of each of their tokens, segments met."""
+    """Both tokenizers of a worker, and the bytes and names of each of their tokens."""
 
     def __init__(self, first_path: str, second_path: str):
         import sentencepiece
 
         self.encode, self.first_bytes = _byte_level(first_path)
         self.library = lib = sentencepiece.SentencePieceProcessor(model_file=second_path)
-        names = [lib.id_to_piece(i) for i in range(lib.get_piece_size())]
         self.second_bytes = [
-            bytes([int(p[3:5], 16)]) if lib.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(names)]
-        self.space = lib.piece_to_id(_SPACE)
-        self.cuts = not any(_SPACE in p.lstrip(_SPACE) for p in names)
+            bytes([int(p[3:5], 16)]) if lib.is_byte(i) else p.replace(_SPACE, " ").encode()
+            for i, p in enumerate(map(lib.id_to_piece, range(lib.get_piece_size())))]
         self.lengths = [np.array([len(b) for b in table]) for table in (self.first_bytes, self.second_bytes)]
-        n = max(len(names), len(self.first_bytes))
+        self.n = max(map(len, self.lengths))
         # An id as written inside a list, at the end of a first list, at the end of a group.
-        self.names = [f"{i}{after}" for after in ",|;" for i in range(n)]
-        self.n = n
-        self.known: dict[str, Segment] = {}
-
-    def segments(self, text: str) -> list[str]:
-        """The parts of a text, each without the space before it."""
-        if not self.cuts:
-            return [text]
-        if not _RUN(text) and not text[:1].isspace():
-            return text.split(" ")
-        first, *others = _CUT.split(" " + text)
-        return [first[1:], *others]
-
-    def second(self, text: str) -> list[int]:
-        """The ids of a text that begins with a space, which the library adds itself, except to nothing."""
-        return self.library.encode(text[1:]) if len(text) > 1 else [self.space]
-
-    def align(self, parts: list[str]) -> list[Segment]:
-        """The segments of `parts`, aligned as one text; they must not end with a space, but for the last."""
-        text = f" {' '.join(parts)}"
-        whole = text.encode()
-        a, b = self.encode(text), self.second(text)
-        if any(b"".join(map(t.__getitem__, ids)) != whole for t, ids in ((self.first_bytes, a), (self.second_bytes, b))):
-            if len(parts) == 1:
-                return [Segment(0, 0, "", ())]
-            half = len(parts) // 2
-            return self.align(parts[:half]) + self.align(parts[half:])
-        a, b = np.array(a), np.array(b)
-        ends, m, n = common_ends(*(np.cumsum(size[ids]).tolist() for size, ids in zip(self.lengths, (a, b))))
+        self.names = np.array([f"{i}{after}" for after in ",|;" for i in range(self.n)], dtype="S")
+        # Without a normalizer the second tokenizer changes nothing but its own sign for a space.
+        self.plain = _normalizer(second_path) == "identity" and lib.is_byte(lib.piece_to_id("<0x00>"))
+
+    def text(self, text: str) -> tuple[int, int, int, str, Sequence[int], Sequence[int]]:
+        """Tokens of both, groups, the hash of the groups, the distinct links and their numbers."""
+        if not text:
+            return _NOTHING
+        if self.plain and _SPACE in text:
+            return _NOTHING
+        a, b = np.asarray(self.encode(" " + text), np.int64), np.array(self.library.encode(text))
+        if not self.plain and not self.exact(text, a, b):
+            return _NOTHING
+        m, n = common_ends(*(np.cumsum(size[ids]).tolist() for size, ids in zip(self.lengths, (a, b))))
         # Names in the order in which they are written: each group's first ids, then its second ids.
-        first_of, second_of = (np.searchsorted(x, np.arange(len(ids)), "right") for x, ids in ((m, a), (n, b)))
         name = np.empty(len(a) + len(b), np.int64)
-        name[np.arange(len(a)) + np.append(0, n)[first_of]] = a + np.where(np.isin(np.arange(1, len(a) + 1), m), self.n, 0)
-        name[np.arange(len(b)) + m[second_of]] = b + np.where(np.isin(np.arange(1, len(b) + 1), n), 2 * self.n, 0)
-        written = list(map(self.names.__getitem__, name.tolist()))
-        links = (a[m - 1] << 32 | b[n - 1]).tolist()
-        # A part ends at a common end; `last` is the number of groups up to there.
-        last = np.searchsorted(ends, list(accumulate(len(p.encode()) + 1 for p in parts))) + 1
-        out, i, j, g = [], 0, 0, 0
-        for h, x, y in zip(last.tolist(), m[last - 1].tolist(), n[last - 1].tolist()):
-            out.append(Segment(x - i, y - j, "".join(written[i + j:x + y]), tuple(links[g:h])))
-            i, j, g = x, y, h
-        return out
-
-    def learn(self, texts: list[list[str]]) -> dict[str, Segment]:
-        """All segments of some texts, those met before and the new ones."""
-        if len(self.known) >= CACHED:
-            self.known.clear()
-        wanted = set().union(*texts)
-        found = {p: s for p in wanted if (s := self.known.get(p))}
-        new = [p for p in wanted if p not in found]
-        joined = [p for p in new if p[-1:] not in (" ", "")]
-        made = {}
-        for at in range(0, len(joined), TOGETHER):
-            made.update(zip(joined[at:at + TOGETHER], self.align(joined[at:at + TOGETHER])))
-        made |= {p: self.align([p])[0] for p in new if p[-1:] in (" ", "")}
-        self.known.update((p, s) for p, s in made.items() if len(p) <= KEPT_CHARS)
-        return found | made
-
-    def texts(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, dict[int, int]]]:
-        """For each text tokens of both, groups, the hash of the groups, and the links with their numbers."""
-        parts = [self.segments(t) if t else [] for t in texts]
-        known = self.learn(parts).__getitem__
-        for names in parts:
-            n_first, n_second, written, links = zip(*map(known, names)) if names else ((), (), (), ())
-            if not names or not all(n_first):
-                yield 0, 0, 0, "", {}
-                continue
-            counts = Counter(chain.from_iterable(links))
-            hash_ = hashlib.sha256("".join(written)[:-1].encode()).hexdigest()
-            yield sum(n_first), sum(n_second), counts.total(), hash_, counts
-
-
-def _byte_level(path: str) -> tuple[Callable[[str], list[int]], list[bytes]]:
+        for ids, upto, other, last in ((a, m, np.append(0, n), self.n), (b, n, m, 2 * self.n)):
+            ends = np.zeros(len(ids), np.int64)
+            ends[upto - 1] = 1
+            group = np.cumsum(ends) - ends
+            name[np.arange(len(ids)) + other[group]] = ids + ends * last
+        written = self.names[name].tobytes().replace(b"\0", b"")[:-1]
+        links, counts = np.unique(a[m - 1] << 32 | b[n - 1], return_counts=True)
+        return len(a), len(b), len(m), hashlib.sha256(written).hexdigest(), links, counts
+
+    def exact(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether both tokenizers give back the text with a space before it."""
+        tables = (self.first_bytes, a), (self.second_bytes, b)
+        return all(b"".join(map(t.__getitem__, ids.tolist())) == f" {text}".encode() for t, ids in tables)
+
+
+def _normalizer(path: str) -> str:
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as f:
+        model.ParseFromString(f.read())
+    return model.normalizer_spec.name
+
+
+def _byte_level(path: str) -> tuple[Callable[[str], Sequence[int]], list[bytes]]:
     """A byte-level vocabulary's encoder, special strings as plain text, and its tokens' bytes.
 
     Where the ids are the order of the merges, as usual, they are ranks, for which there is
@@ -184,7 +121,7 @@ def _byte_level(path: str) -> tuple[Callable[[str], list[int]], list[bytes]]:
     return _ranked(path, table) or _filed(path), table
 
 
-def _filed(path: str) -> Callable[[str], list[int]]:
+def _filed(path: str) -> Callable[[str], Sequence[int]]:
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
@@ -192,7 +129,7 @@ def _filed(path: str) -> Callable[[str], list[int]]:
     return lambda text: library.encode(text, add_special_tokens=False).ids
 
 
-def _ranked(path: str, table: list[bytes]) -> Callable[[str], list[int]] | None:
+def _ranked(path: str, table: list[bytes]) -> Callable[[str], Sequence[int]] | None:
     import public_tokenizers
     import tiktoken
 
@@ -206,7 +143,8 @@ def _ranked(path: str, table: list[bytes]) -> Callable[[str], list[int]] | None:
     special = {t["id"] for t in spec.get("added_tokens", [])}
     ranks = {t: i for i, t in enumerate(table) if t and i not in special}
     library = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    quick, whole = library.encode_ordinary, cache(_filed)
+    whole = cache(_filed)
+    quick = lambda text: library.encode_to_numpy(text, disallowed_special=())
     # The faster library's pattern matching does not bear very long white space.
     return lambda text: whole(path)(text) if _LONG_WHITE(text) else quick(text)
 
@@ -225,20 +163,18 @@ def aligned(docs: DataFrame, first_path: str, second_path: str, text: str = "tex
         "links array<struct<link:long,n:long>>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = aligner(first_path, second_path).texts
+        work = aligner(first_path, second_path).text
         held: list[tuple] = []
         size = 0
 
         def flush(id_type: pa.DataType, row_type: pa.DataType) -> pa.RecordBatch:
             nonlocal size
-            keys, rows, texts = zip(*held)
-            *plain, links = zip(*work(texts))
+            *plain, links, counts = zip(*held)
             types = [id_type, row_type, *[pa.int64()] * 3, pa.string()]
             flat = pa.StructArray.from_arrays(
-                [pa.array([x for d in links for x in d], pa.int64()), pa.array([n for d in links for n in d.values()], pa.int64())],
-                ["link", "n"])
+                [pa.array(np.concatenate([np.asarray(x, np.int64) for x in part])) for part in (links, counts)], ["link", "n"])
             offsets = pa.array(accumulate(map(len, links), initial=0), pa.int32())
-            columns = [pa.array(c, t) for c, t in zip((keys, rows, *plain), types)]
+            columns = [pa.array(c, t) for c, t in zip(plain, types)]
             held.clear()
             size = 0
             return pa.RecordBatch.from_arrays(
@@ -247,9 +183,9 @@ def aligned(docs: DataFrame, first_path: str, second_path: str, text: str = "tex
         for batch in batches:
             types = batch.schema.field(0).type, batch.schema.field(1).type
             for at in range(0, len(batch), 64):
-                for row in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns)):
-                    held.append(row)
-                    size += len(row[2])
+                for k, row, t in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns)):
+                    held.append((k, row, *work(t)))
+                    size += len(t)
                     if len(held) >= _TEXTS or size >= _CHARS:
                         yield flush(*types)
             if held:

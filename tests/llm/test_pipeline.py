@@ -17,7 +17,7 @@ from shelfwise.llm.common import stored  # noqa: E402
 
 def test_all_are_registered():
     names = set(queries.QUERIES)
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11)) and "pipeline" in names
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14)) and "pipeline" in names
     assert set(queries.ORACLE_SQL) <= names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_copies", "passages", "mix", "pack"]
 
