@@ -209,4 +209,4 @@ def assemble(found: DataFrame) -> DataFrame:
 def page_ids(captures: DataFrame) -> DataFrame:
     """Add `page_id` from the metadata part."""
     fields = F.get(F.filter("parts", lambda p: p["type"] == "metadata"), F.lit(0))["payload"].cast("string")
-    return captures.withColumn("page_id", F.nullif(F.regexp_extract(fields, r"page-id: *(\d*)", 1), F.lit("")).cast("long"))
+    return captures.withColumn("page_id", F.nullif(F.regexp_extract(fields, r"page-id: *(-?\d*)", 1), F.lit("")).cast("long"))
