@@ -17,6 +17,8 @@ order; repeated rows and extra columns stay, columns named like an output are re
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +36,9 @@ CHUNK = 256
 #: Classes of length: 2**b distinct n-grams and more.
 CLASSES = 13
 
-_not_letters = re.compile(r"[\W\d_]+")
+#: Numerals that are no decimal digits, such as one half or Roman eight: they are no letters either.
+_numerals = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Nl", "No"))
+_not_letters = re.compile(rf"[\W\d_{_numerals}]+")
 
 
 def grams(text: str) -> np.ndarray | None:

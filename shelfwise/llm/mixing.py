@@ -5,14 +5,16 @@ excess is shared again by weight. Each document then has the expected number of
 target / source size. The whole part is taken for certain; the fraction is the document's
 inclusion probability. The flight phase of the cube method moves these probabilities
 through the null space of two constraints of each source, document total and word total,
-until a small landing problem is left of a group: first inside each input partition, then
-among what is left in hashed groups of a source, then by source. A few documents of all
-sizes stay out of the flight; the landing tries all roundings of these and of the last two
-of a source and takes the one whose word total is nearest its target, the document total
-being right within one.
+until a small landing problem is left of a group: first in groups of some `GROUP` documents
+of a source, then among what is left in groups of these groups, at last by source. A few
+documents of all sizes stay out of the flight; the landing tries all roundings of these and
+of the last two of a source and takes the one whose word total is nearest its target, the
+document total being right within one.
 
-Choices are drawn from a hash of the document, so reruns agree. Nothing but one row per
-source is ever in one place; what is left after each flight is at most 14 rows a group.
+Groups and draws come from a hash of the document's columns, and each group is sorted by
+it, so the mix depends on the rows alone, not on files, partitions or order; equal rows are
+interchangeable. A source is split into groups however large it is; what is left after each
+flight is at most 14 rows a group, and one row per source goes to one place.
 
 Cases: null text has size 0; null source is a source of its own, last in order; documents
 of size 0 are never in the mix's words and take 0; repeated rows are separate documents;
@@ -22,7 +24,8 @@ those named like an output are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -33,8 +36,9 @@ from shelfwise.llm.common import WORD, stored, text_of, with_row
 
 #: Nearer to 0 or 1 than this is decided.
 EPS = 1e-9
-#: Groups of a source in the second flight.
-GROUPS = 64
+#: Documents of a group in the first flight, about; and groups that fly together in the next.
+GROUP = 20_000
+TOGETHER = 1024
 #: Documents of a group, evenly spread over the order of sizes, that stay out of its flight
 #: and land together with the two that a flight leaves.
 LANDING = 12
@@ -108,29 +112,16 @@ def fly(chance: np.ndarray, size: np.ndarray, draw: np.ndarray) -> np.ndarray:
     return np.where(p >= 1 - EPS, 1.0, np.where(p <= EPS, 0.0, p))
 
 
-def _flight(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Fly each source of each batch; what a batch leaves joins the next one."""
-    left: pd.DataFrame | None = None
-    for batch in batches:
-        rows = batch if left is None else pd.concat([left, batch], ignore_index=True)
-        if not len(rows):
-            continue
-        chance = rows["_p"].to_numpy().copy()
-        size, draw = rows["size"].to_numpy(), rows["_u"].to_numpy()
-        for at in rows.groupby("source", dropna=False, sort=False).indices.values():
-            chance[at] = fly(chance[at], size[at], draw[at])
-        rows["_p"] = chance
-        open_ = (chance > EPS) & (chance < 1 - EPS)
-        yield rows[~open_]
-        left = rows[open_]
-    if left is not None:
-        yield left
+def _fly_group(group: pd.DataFrame) -> pd.DataFrame:
+    """The flight of one group, in the order of its draws."""
+    group = group.sort_values(["_u", "size"], ignore_index=True)
+    return group.assign(_p=fly(group["_p"].to_numpy(), group["size"].to_numpy(), group["_u"].to_numpy()))
 
 
 def _land(group: pd.DataFrame) -> pd.DataFrame:
     """Fly what is left of a source, then round the last ones."""
-    size = group["size"].to_numpy()
-    p = fly(group["_p"].to_numpy(), size, group["_u"].to_numpy())
+    group = _fly_group(group)
+    size, p = group["size"].to_numpy(), group["_p"].to_numpy().copy()
     rest = np.flatnonzero((p > EPS) & (p < 1 - EPS))
     ways = np.arange(1 << len(rest))[:, None] >> np.arange(len(rest)) & 1
     off = np.abs(ways @ size[rest] - (p[rest] * size[rest]).sum())
@@ -139,31 +130,42 @@ def _land(group: pd.DataFrame) -> pd.DataFrame:
     return group.assign(_p=p)
 
 
+def _hashed(docs: DataFrame) -> Column:
+    """A hash of all columns but those that have none."""
+    no_hash = ("map", "variant")
+    return F.xxhash64(F.lit(7), *[F.col(f"`{c}`") for c, t in docs.dtypes if not any(k in t for k in no_hash)])
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), total: float = 1.5, most: float = 2.0) -> DataFrame:
     """Add `size`, `source_size`, `target`, `copies` and `taken` to every document."""
-    keyed = with_row(docs.drop("size", "source_size", "target", "copies", "taken", "_row"))
-    measured = keyed.select("_row", "source", word_count().alias("size"), F.xxhash64(F.lit(7), "_row").alias("_hash"))
-    rows = stored(measured, "mix-sizes")
-    goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, total, most)
+    plain = docs.drop("size", "source_size", "target", "copies", "taken", "_row")
+    keyed = with_row(plain)
+    rows = stored(keyed.select("_row", "source", word_count().alias("size"), _hashed(plain).alias("_hash")), "mix-sizes")
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_n"))
+    bits = F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("_n") / float(GROUP)))).cast("int")
+    sizes = stored(sizes.withColumn("_bits", bits), "mix-sources")  # one row per source
+    goal = targets(sizes, weights, total, most).join(sizes.select(F.col("source").alias("_s"), "_bits"), F.col("source").eqNullSafe(F.col("_s")))
     u = (F.shiftrightunsigned("_hash", 11)).cast("double") / float(1 << 53)
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     with_goal = rows.alias("r").join(goal.alias("g"), F.col("r.source").eqNullSafe(F.col("g.source"))).select(
-        "_row", "r.source", "size", "source_size", "target", u.alias("_u"), share.alias("_share"))
-    cut = with_goal.select(
-        "_row", "source", "size", "source_size", "target", "_u", F.floor("_share").cast("long").alias("_whole"),
+        "_row", "r.source", "size", "source_size", "target", u.alias("_u"), share.alias("_share"),
+        # The group is the hash's lower bits, as the draw is its upper ones.
+        F.expr("_hash & (shiftleft(1L, _bits) - 1)").alias("_g"))
+    now = with_goal.select(
+        "_row", "source", "size", "source_size", "target", "_u", "_g", F.floor("_share").cast("long").alias("_whole"),
         F.when(F.col("size") > 0, F.col("_share") - F.floor("_share")).otherwise(0.0).alias("_p"))
-    kind = cut.schema.simpleString()[len("struct<"):-1].replace(":", " ").replace(",", ", ")
-    first = stored(cut.mapInPandas(_flight, kind), "mix-flight")
+    kind = now.schema.simpleString()[len("struct<"):-1].replace(":", " ").replace(",", ", ")
     undecided = (F.col("_p") > EPS) & (F.col("_p") < 1 - EPS)
-    second = (
-        first.filter(undecided).withColumn("_g", F.pmod(F.xxhash64("_row"), F.lit(GROUPS)))
-        .groupBy("source", "_g").applyInPandas(lambda d: d.drop(columns="_g").assign(
-            _p=fly(d["_p"].to_numpy(), d["size"].to_numpy(), d["_u"].to_numpy())), kind)
-    )
-    second = stored(second, "mix-left")
-    third = second.filter(undecided).groupBy("source").applyInPandas(_land, kind)
-    decided = first.filter(~undecided).unionByName(second.filter(~undecided)).unionByName(third)
-    taken = decided.select("_row", "size", "source_size", "target", (F.col("_whole") + F.rint("_p").cast("long")).alias("copies"))
+    decided = []
+    groups = 1 << (sizes.agg(F.max("_bits")).first()[0] or 0)
+    while groups > 1:
+        flown = stored(now.filter(undecided).groupBy("source", "_g").applyInPandas(_fly_group, kind), "mix-flight")
+        decided += [now.filter(~undecided), flown.filter(~undecided)]
+        groups = -(-groups // TOGETHER)
+        now = flown.filter(undecided).withColumn("_g", F.pmod("_g", F.lit(groups)))
+    decided += [now.filter(~undecided), now.filter(undecided).groupBy("source").applyInPandas(_land, kind)]
+    taken = reduce(DataFrame.unionByName, decided).select(
+        "_row", "size", "source_size", "target", (F.col("_whole") + F.rint("_p").cast("long")).alias("copies"))
     return keyed.join(taken, "_row").drop("_row").withColumn("taken", F.col("size") * F.col("copies"))
 
 

@@ -81,7 +81,9 @@ def op8_warc_captures(spark, folder):
 
 def op9_packing(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    pieces = packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), packing.Limits(), separator=0)
+    # As many segments as tokens: only the length of a sequence binds.
+    limits = packing.Limits(segments=packing.Limits.tokens)
+    pieces = packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), limits, separator=0)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )

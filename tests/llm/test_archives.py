@@ -29,7 +29,8 @@ def captures(spark, pages, tmp_path, least=0):
 
 @pytest.fixture
 def pages(spark, tmp_path):
-    rows = [(20 - i, f"http://h{i}.example/a b?\r\nx={i}" if i % 4 else None, t) for i, t in enumerate(NASTY)]
+    # Ids down to -3.
+    rows = [(9 - i, f"http://h{i}.example/a b?\r\nx={i}" if i % 4 else None, t) for i, t in enumerate(NASTY)]
     made = cases.with_clashes(spark.createDataFrame(rows, "page_id long, url string, html string"), "digest", "bytes")
     made.repartition(3).write.parquet(str(tmp_path / "pages"))
     return spark.read.parquet(str(tmp_path / "pages"))

@@ -82,3 +82,27 @@ def test_cases(spark):
     assert mixing.mix(cases.empty(docs)).count() == 0
     nothing = docs.withColumn("text", F.lit(None).cast("string"))
     assert {r["taken"] for r in mixing.mix(nothing).collect()} == {0}
+
+
+@pytest.mark.parametrize("group", [mixing.GROUP, 40])
+def test_mix_depends_on_the_rows_alone(spark, tmp_path, monkeypatch, group):
+    """The same copies from three layouts of files and from a rerun, with one flight and with several."""
+    monkeypatch.setattr(mixing, "GROUP", group)
+    monkeypatch.setattr(mixing, "TOGETHER", 3)
+    rng = random.Random(6)
+    rows = [(i, " ".join(["w"] * rng.choice([0, 3, 40, 400])), "en", "s0" if rng.random() < 0.5 else rng.choice(["s1", "s2", None]), 1)
+            for i in range(600)]
+    rows += rows[:50] + [(None, None, None, None, None)] * 3
+    found = []
+    for i, n in enumerate((1, 7, 3)):
+        path = str(tmp_path / str(i))
+        rng.shuffle(rows)
+        spark.createDataFrame(rows, cases.DOCS).repartition(n).write.parquet(path)
+        mixed = mixing.mix(spark.read.parquet(path))
+        for _ in range(2 if i == 0 else 1):
+            found.append(sorted((str(r["doc_id"]), r["source"] or "", r["size"], r["copies"]) for r in mixed.collect()))
+    assert all(f == found[0] for f in found)
+    for source in {r[3] for r in rows}:
+        mine = mixed.filter(F.col("source").eqNullSafe(F.lit(source))).toPandas()
+        if mine["target"].iloc[0]:
+            assert abs(mine["taken"].sum() - mine["target"].iloc[0]) <= 0.02 * mine["target"].iloc[0]

@@ -49,9 +49,10 @@ def test_fold_is_crc32_of_the_id(spark):
 
 def test_language_cases(spark, labelled):
     model = langid.fit(labelled)
-    docs = cases.with_clashes(cases.documents(spark, [(90, "дом и вода", None, None, 1)]), "lang_pred", "score")
+    numerals = [(91 + i, c * 3, None, None, 3) for i, c in enumerate("½²Ⅷ①٣五")]
+    docs = cases.with_clashes(cases.documents(spark, [(90, "дом и вода", None, None, 1), *numerals]), "lang_pred", "score")
     rows = langid.identify(docs, model).collect()
-    assert len(rows) == 10
+    assert len(rows) == 10 + len(numerals)
     for r in rows:
         letters = any(c.isalpha() for c in r["text"] or "")
         assert (r["lang_pred"] == "und") == (not letters)

@@ -79,6 +79,19 @@ def test_sequences_are_full_but_the_last():
     assert sorted(total.values())[1:] == [256] * (len(total) - 1)
 
 
+@pytest.mark.parametrize("size", [1, 2, 4, 9])
+def test_short_documents_fill_their_sequences(size):
+    """With as many segments as tokens; with fewer, that limit binds and nothing else is lost."""
+    def fill(limits):
+        used: dict[int, int] = {}
+        for _, _, n, q, _ in packing.pack([size] * 3000, [size] * 3000, limits):
+            used[q] = used.get(q, 0) + n
+        return sorted(used.values())[1:]
+
+    assert set(fill(packing.Limits(segments=1024))) == {1024}
+    assert set(fill(packing.Limits(segments=100))) == {min(1024, 100 * size)}
+
+
 def test_packed_table_round_trip(spark, library):
     docs = cases.with_clashes(cases.documents(spark), "ids", "start")
     pieces = packing.pack_documents(docs, PATH, packing.Limits(64, 64, 64)).collect()
