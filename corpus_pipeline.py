@@ -42,7 +42,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: pieces of sequences."""
-    pieces = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), packing.Limits(), separator=0)
+    limits = packing.Limits(segments=packing.Limits.tokens)
+    pieces = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), limits, separator=0)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
