@@ -188,11 +188,21 @@ def horizon(series: DataFrame, as_of, days: int = 14) -> DataFrame:
     return series.select("*", F.explode(dates).alias("forecast_date"))
 
 
-def cold_start(history: DataFrame, keys: Sequence[str] = ("chi_nhanh", "ma_hang")) -> DataFrame:
-    """Series too short, uniform or sparse for a model, with the reason.
+def cold_reason(days_sold: Column, lowest: Column, highest: Column, first_day: Column, last_day: Column) -> Column:
+    """Why a series gets no model: uniform, sparse or short; null for the others.
 
     One value only shows as an equal minimum and maximum.
     """
+    density = days_sold / (F.datediff(last_day, first_day) + 1)
+    return (
+        F.when((days_sold < 7) & (lowest == highest), "uniform")
+        .when((days_sold >= 2) & (density < 0.05) & (days_sold < 10), "sparse")
+        .when(days_sold < 2, "short")
+    )
+
+
+def cold_start(history: DataFrame, keys: Sequence[str] = ("chi_nhanh", "ma_hang")) -> DataFrame:
+    """Series too short, uniform or sparse for a model, with the reason."""
     per = history.groupBy(*keys).agg(
         F.count("*").alias("days_sold"), F.min("daily_quantity").alias("lo"), F.max("daily_quantity").alias("hi"),
         F.min("ngay").alias("first_day"), F.max("ngay").alias("last_day"),
@@ -200,11 +210,7 @@ def cold_start(history: DataFrame, keys: Sequence[str] = ("chi_nhanh", "ma_hang"
     )
     n = F.col("days_sold")
     density = n / (F.datediff("last_day", "first_day") + 1)
-    reason = (
-        F.when((n < 7) & (F.col("lo") == F.col("hi")), "uniform")
-        .when((n >= 2) & (density < 0.05) & (n < 10), "sparse")
-        .when(n < 2, "short")
-    )
+    reason = cold_reason(n, F.col("lo"), F.col("hi"), F.col("first_day"), F.col("last_day"))
     return per.withColumns({"density": density, "reason": reason}).withColumn(
         "is_cold_start", F.col("reason").isNotNull()
     ).drop("lo", "hi")

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import rules
 from shelfwise.operators import evaluate, facts, features, forecast, inventory, quality, seasonality
 from shelfwise.plans.query import query
+from shelfwise.sources import files
 from shelfwise.plans.stock import LATEST, ORDERS, PEAKS, Orders, regular, seasonal_factors_of
-from shelfwise.session import pinned
+from shelfwise.session import pinned, scratch_path, shared_dir
 
 SERIES = ("city", "nhom_hang_cap_1")
 
@@ -357,18 +361,6 @@ def cold_start_forecast(s):
     )
 
 
-@query(
-    "M20_forecast_quality", "M20",
-    f"""{_COLD_FORECAST}, answer AS (
-      SELECT count(DISTINCT ma_hang) AS cold_start_count, count(*) > 0 AS fallback_used, CAST(100 AS DOUBLE) AS missing_data_pct,
-             count(*) FILTER (round_even(raw, 0) = 0) AS zero_predictions, count(DISTINCT ma_hang) AS total_products, 1 AS data_age_days
-      FROM cf)""",
-)
-def forecast_quality(s):
-    """Quality of the cold-start forecasts, one day after the newest sale."""
-    return evaluate.forecast_quality(_cold_forecast(s), s.as_of, F.date_add(s.as_of, 1))
-
-
 # A naive forecast of the last 28 days: each product's mean units per selling day before them.
 _PAST = """sold AS (SELECT transaction_date, product_code, any_value(cap_1) AS c, sum(quantity_sold) AS q FROM regular GROUP BY 1, 2),
     past AS (SELECT product_code, any_value(c) AS c, avg(q) AS m FROM sold WHERE transaction_date < (SELECT d - 27 FROM newest) GROUP BY 1),
@@ -594,56 +586,272 @@ def report(s):
 _SHAPE = {"lags": features.LAGS, "windows": features.WINDOWS, "spans": features.WINDOWS}
 
 
-def _training(s):
-    """Series, training rows with features and their encoder, pinned once."""
-    latest = seasonality.latest_factors(seasonal_factors_of(s))
-    rows = pinned(series(s, latest))
-    encoder = features.encode(rows, SERIES)
-    made = features.make_features(rows, SERIES, encoder=encoder, **_SHAPE)
-    wanted = [c for c in features.feature_columns(made) if not c.endswith("_revenue") and c not in ("avg_price", "price_change")]
-    return rows, pinned(made.select("ngay", "daily_quantity", *wanted)), wanted, encoder, latest
+#: The models: keys of their series, columns with codes, days ahead, shape of the features.
+MODELS = {
+    "product": (("chi_nhanh", "ma_hang"), ("chi_nhanh", "nhom_hang_cap_1", "thuong_hieu"), 14, _SHAPE),
+    "region": (SERIES, SERIES, 14, _SHAPE),
+    "category": (("nhom_hang_cap_1",), ("nhom_hang_cap_1",), 7, {"lags": (1, 7, 14), "windows": (7, 14), "spans": (7,)}),
+}
+#: The model whose series the search runs on; its best setting trains all three.
+SEARCHED = "region"
+
+
+class Learned:
+    """One of `MODELS`: its series, and the model trained on them.
+
+    A model is trained once, with the setting that the search found, and saved into the
+    shared folder with its encoder; later it is loaded, until there are a week of days newer
+    than those it has seen (M11).
+    """
+
+    def __init__(self, s, kind: str):
+        self.s, self.kind = s, kind
+        self.keys, self.coded, self.days, self.shape = MODELS[kind]
+
+    @cached_property
+    def latest(self) -> DataFrame:
+        return pinned(seasonality.latest_factors(seasonal_factors_of(self.s)))
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        if self.kind == "region":
+            return pinned(series(self.s, self.latest))
+        sold = history(self.s, self.latest)
+        return pinned(sold if self.kind == "product" else features.category_series(sold))
+
+    @cached_property
+    def encoder(self):
+        return features.encode(self.rows, self.coded)
+
+    @cached_property
+    def training(self) -> tuple[DataFrame, list[str]]:
+        """Training rows with features, and the features."""
+        made = features.make_features(self.rows, self.keys, encoder=self.encoder, **self.shape)
+        wanted = [
+            c for c in features.feature_columns(made) if not c.endswith("_revenue") and c not in ("avg_price", "price_change")]
+        return pinned(made.select("ngay", "daily_quantity", *wanted)), wanted
+
+    @property
+    def path(self) -> str:
+        """The saved model of this application and data folder."""
+        name = hashlib.sha256(self.s.folder.encode()).hexdigest()[:16]
+        return f"{shared_dir(self.s.spark)}/models-{self.s.spark.sparkContext.applicationId}/{name}/{self.kind}"
+
+    def learn(self) -> None:
+        """Search or take the setting, train, save."""
+        made, wanted = self.training
+        if self.kind == SEARCHED:
+            best, scores = forecast.tune(made, wanted, parallel=8)
+        else:
+            best, scores = Learned(self.s, SEARCHED).saved[2]["params"], []
+        trained = forecast.learn(made, wanted, params=best)
+        forecast.save(self.s.spark, trained, self.encoder, self.path, params=best, scores=scores)
+
+    @cached_property
+    def saved(self):
+        """(trained, encoder, {params, scores}) from the saved model."""
+        spark = self.s.spark
+        last = forecast.last_trained(spark, self.path)
+        if last is None or evaluate.should_retrain(self.s.transactions, last).first()["retrain"]:
+            self.learn()
+        return forecast.load(spark, self.path)
+
+    @cached_property
+    def state(self) -> DataFrame:
+        extra = ("nhom_hang_cap_1", "thuong_hieu") if self.kind == "product" else ()
+        return forecast.state_of(self.rows, self.keys, extra=extra, **self.shape)
+
+    def ahead(self, state: DataFrame | None = None) -> DataFrame:
+        """The recursive forecast of all series, or of those of `state`."""
+        trained, encoder, _ = self.saved
+        coded = forecast.encoded(self.state if state is None else state, encoder)
+        made = forecast.forecast(trained.model, coded, self.latest, self.s.as_of, self.days, **self.shape)
+        return made.drop(*encoder.getOutputCols())
 
 
 @query("M6_train_importance", "M6 M10 M5")
 def train_importance(s):
     """Feature importances of a quantity model over all regional category series."""
-    _, made, wanted, _, _ = _training(s)
-    return forecast.importance(s.spark, forecast.train(made, wanted))
+    return forecast.importance(s.spark, Learned(s, "region").saved[0].model)
+
+
+@query(
+    "M10_importance_facts", "M6 M9 M10 M4",
+    _SERIES + """, answer AS (
+      SELECT unnest(['category', 'product', 'region']) AS model, true AS sums_to_one, true AS never_negative,
+             true AS trees_in_bounds, true AS judged, d AS last_day, unnest([24, 41, 39]) AS features,
+             unnest([1, 3, 2]) AS codes
+      FROM newest, (SELECT max(ngay) AS seen FROM series) WHERE seen = d)""",
+)
+def importance_facts(s):
+    """What must hold of the three trained models: importances, chosen number of trees, days, codes."""
+    made = []
+    for kind in sorted(MODELS):
+        trained, encoder, _ = Learned(s, kind).saved
+        weights = forecast.importance(s.spark, trained.model)
+        made.append(weights.agg(
+            F.lit(kind).alias("model"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
+            F.bool_and(F.col("importance") >= 0).alias("never_negative"),
+            F.lit(1 <= trained.trees <= forecast.ROUNDS).alias("trees_in_bounds"),
+            F.lit(trained.mdape is not None and trained.mdape >= 0).alias("judged"),
+            F.lit(trained.last_day).alias("last_day"), F.countDistinct("feature").alias("features"),
+            F.lit(len(encoder.getOutputCols())).alias("codes")))
+    return made[0].union(made[1]).union(made[2])
 
 
 @query("M7_tune", "M7 M8")
 def tune(s):
-    """Two random settings, ten rounds each, over three expanding folds; one row per setting."""
-    _, made, wanted, _, _ = _training(s)
-    _, results = forecast.tune(made, wanted, trials=2, folds=3, fixed={"maxIter": 10}, parallel=2)
+    """The whole search: every score of every setting, and whether it is the winner's."""
+    _, _, more = Learned(s, SEARCHED).saved
     return s.spark.createDataFrame(
-        [(i, str(sorted(r["params"].items())), float(r["mdape"])) for i, r in enumerate(results)],
-        "trial int, params string, mdape double",
+        [(r["trial"], r["rung"], r["folds"], r["rounds"], str(sorted(r["params"].items())), float(r["mdape"]),
+          r["params"] == more["params"]) for r in more["scores"]],
+        "trial int, rung int, folds int, rounds int, params string, mdape double, chosen boolean",
     )
 
 
+@query(
+    "M7_search", "M7 M8 M6",
+    _SERIES + """, rungs AS (
+      SELECT unnest([0, 1, 2, 3]) AS rung, unnest([50, 17, 6, 2]) AS settings, unnest([1, 2, 3, 5]) AS folds,
+             unnest([6, 12, 25, 50]) AS rounds),
+    answer AS (
+      SELECT rung, CAST(settings AS BIGINT) AS settings, folds, rounds, true AS all_judged, true AS kept_the_best,
+             true AS trained_with_winner
+      FROM rungs, (SELECT count(DISTINCT ngay) AS days FROM series) WHERE days > 5)""",
+)
+def search(s):
+    """Rounds of the search: how many settings on how many folds and boosting rounds; that each
+    round keeps the best of the one before; and that the models were trained with the winner."""
+    scores = tune(s)
+    winner = Learned(s, SEARCHED).saved[2]["params"]
+    others = [Learned(s, kind).saved[2]["params"] == winner for kind in MODELS]
+    worst = scores.groupBy((F.col("rung") - 1).alias("_before")).agg(F.collect_set("trial").alias("_on"))  # 50 at most
+    judged = scores.join(worst, F.col("rung") == F.col("_before"), "left")
+    on = F.array_contains("_on", F.col("trial"))
+    last = F.col("_on").isNull()
+    return judged.groupBy("rung").agg(
+        F.countDistinct("trial").alias("settings"), F.max("folds").alias("folds"), F.max("rounds").alias("rounds"),
+        F.bool_and(F.col("mdape") < float("inf")).alias("all_judged"),
+        F.coalesce(
+            F.max(F.when(on, F.col("mdape"))) <= F.min(F.when(~on, F.col("mdape"))),
+            F.min(F.when(last & F.col("chosen"), F.col("mdape"))) == F.min(F.when(last, F.col("mdape")))).alias("kept_the_best"),
+        F.lit(all(others)).alias("trained_with_winner"))
+
+
 @query("M15_recursive_forecast", "M15 A14")
 def recursive_forecast(s):
     """Fourteen days ahead for every regional category series."""
-    rows, made, wanted, encoder, latest = _training(s)
-    model = forecast.train(made, wanted)
-    state = forecast.encoded(forecast.state_of(rows, SERIES, **_SHAPE), encoder)
-    return forecast.forecast(model, state, latest, s.as_of, 14, **_SHAPE).drop(*encoder.getOutputCols())
+    return Learned(s, "region").ahead()
 
 
 @query("M16_category_forecast", "M9 M16")
 def category_forecast(s):
     """A model over category series; seven days for categories with a week of history."""
-    latest = seasonality.latest_factors(seasonal_factors_of(s))
-    rows = pinned(features.category_series(history(s, latest)))
-    keys = ("nhom_hang_cap_1",)
-    encoder = features.encode(rows, keys)
-    shape = {"lags": (1, 7, 14), "windows": (7, 14), "spans": (7,)}
-    made = features.make_features(rows, keys, encoder=encoder, **shape)
-    wanted = [c for c in features.feature_columns(made) if not c.endswith("_revenue") and c not in ("avg_price", "price_change")]
-    model = forecast.train(pinned(made.select("ngay", "daily_quantity", *wanted)), wanted)
-    state = forecast.encoded(forecast.state_of(rows, keys, **shape), encoder).filter("days_sold >= 7")
-    return forecast.forecast(model, state, latest, s.as_of, 7, **shape).drop(*encoder.getOutputCols())
+    learned = Learned(s, "category")
+    return learned.ahead(learned.state.filter("days_sold >= 7"))
+
+
+def product_forecast(s) -> DataFrame:
+    """Fourteen days for every (branch, product) sold in the last 60 days, written once."""
+    learned = Learned(s, "product")
+    trained, encoder, _ = learned.saved
+    active = learned.state.filter(F.col("last_day") >= F.date_sub(s.as_of, 60))
+    medians = features.category_stats(learned.rows)
+    return pinned(forecast.forecast_all(trained.model, active, medians, learned.latest, s.as_of, 14, encoder, **_SHAPE))
+
+
+_ALL_FORECASTS = f"""{PEAKS}, {LATEST}, {_COLD}, med AS (SELECT nhom_hang_cap_1, median(q) AS m FROM hist GROUP BY 1),
+    fa AS (
+      SELECT chi_nhanh, ma_hang, nhom_hang_cap_1, CAST(d + h AS DATE) AS forecast_date, reason, is_cold_start,
+             CASE WHEN is_cold_start THEN
+               CASE WHEN reason = 'uniform' THEN least(coalesce(m, 10), 50) ELSE coalesce(m, 10) END * coalesce(seasonal_factor, 1)
+             END AS cold_quantity
+      FROM newest, cold LEFT JOIN med USING (nhom_hang_cap_1), (SELECT CAST(unnest(range(1, 15)) AS INTEGER) AS h)
+      LEFT JOIN latest ON latest.month = month(d + h) WHERE last_day >= d - 60)"""
+
+
+@query(
+    "M15_forecast_all", "M12 M13 M14 M15",
+    f"""{_ALL_FORECASTS}, answer AS (
+      SELECT *, true AS never_negative, true AS whole_right, true AS lower_right, true AS upper_right FROM fa)""",
+    four="cold_quantity",
+)
+def forecast_all(s):
+    """Every day of every active series, cold or warm, in one table; of warm ones only the bounds are known."""
+    made, raw = product_forecast(s), F.col("predicted_quantity_raw")
+    cold = F.col("is_cold_start")
+
+    def near(c: str, when_cold: float, when_warm: float):
+        return F.abs(F.col(c) - raw * F.when(cold, when_cold).otherwise(when_warm)) < 1e-9
+
+    return made.select(
+        "chi_nhanh", "ma_hang", "nhom_hang_cap_1", "forecast_date", "reason", "is_cold_start",
+        F.when(cold, raw).alias("cold_quantity"), (raw >= 0).alias("never_negative"),
+        (F.col("predicted_quantity") == rules.whole(raw)).alias("whole_right"),
+        near("confidence_lower", 0.5, 0.8).alias("lower_right"), near("confidence_upper", 1.5, 1.2).alias("upper_right"))
+
+
+@query(
+    "M20_forecast_quality", "M20 M15",
+    f"""{_ALL_FORECASTS}, answer AS (
+      SELECT count(DISTINCT ma_hang) FILTER (is_cold_start) AS cold_start_count, count(*) FILTER (is_cold_start) > 0 AS fallback_used,
+             CAST(count(DISTINCT ma_hang) FILTER (is_cold_start) * 100.0 / count(DISTINCT ma_hang) AS DOUBLE) AS missing_data_pct,
+             count(*) FILTER (round_even(cold_quantity, 0) = 0) AS cold_zeros, true AS zeros_right,
+             count(DISTINCT ma_hang) AS total_products, 1 AS data_age_days FROM fa)""",
+    four="missing_data_pct",
+)
+def forecast_quality(s):
+    """Quality of the whole forecast, one day after the newest sale; zeros of warm series depend on the model."""
+    made = product_forecast(s)
+    zero = F.col("predicted_quantity") == 0
+    counts = made.agg(F.struct(
+        F.count_if(zero & F.col("is_cold_start")).alias("cold"), F.count_if(zero).alias("all")).alias("z")).scalar()
+    return evaluate.forecast_quality(made, s.as_of, F.date_add(s.as_of, 1)).select(
+        "cold_start_count", "fallback_used", "missing_data_pct", counts["cold"].alias("cold_zeros"),
+        (F.col("zero_predictions") == counts["all"]).alias("zeros_right"), "total_products", "data_age_days")
+
+
+@query(
+    "A14_append_all", "A14 M15",
+    f"""{_ALL_FORECASTS}, answer AS (
+      SELECT forecast_date, 2 * count(*) AS rows, count(DISTINCT ma_hang) AS products, count(DISTINCT chi_nhanh) AS branches
+      FROM fa GROUP BY 1)""",
+)
+def append_all(s):
+    """The whole forecast appended twice to a table, as two runs do, and read back."""
+    made, path = product_forecast(s), scratch_path(s.spark, "forecasts")
+    for _ in range(2):
+        files.write_forecasts(made, path)
+    return s.spark.read.parquet(path).groupBy("forecast_date").agg(
+        F.count("*").alias("rows"), F.countDistinct("ma_hang").alias("products"), F.countDistinct("chi_nhanh").alias("branches"))
+
+
+@query(
+    "M11_saved_model", "M4 M6 M11",
+    _SERIES + """, answer AS (
+      SELECT city, nhom_hang_cap_1, count(*) AS days, true AS same_codes, true AS same_forecasts, any_value(d) AS last_trained,
+             false AS retrain FROM series, newest GROUP BY 1, 2)""",
+)
+def saved_model(s):
+    """A model saved and read again in fresh objects forecasts what it did before; M11 reads its last day."""
+    learned, path = Learned(s, "region"), scratch_path(s.spark, "model")
+    made, wanted = learned.training
+    before = forecast.learn(made, wanted, params={"maxIter": 3})
+    forecast.save(s.spark, before, learned.encoder, path)
+    after, encoder, _ = forecast.load(s.spark, path)
+    gate = evaluate.should_retrain(s.transactions, forecast.last_trained(s.spark, path))
+    codes = [f"{c}_encoded" for c in SERIES]
+    coded = learned.rows.select("ngay", *SERIES)
+    for name, e in (("_old", learned.encoder), ("_new", encoder)):
+        coded = forecast.encoded(coded, e).withColumn(name, F.array(*codes)).drop(*codes)
+    same = before.model.transform(made).select("features", F.col("prediction").alias("_before"))
+    again = after.model.stages[-1].transform(same)
+    differing = again.agg(F.count_if(F.col("prediction") != F.col("_before")).alias("n")).scalar()
+    day_ = gate.agg(F.struct(F.max("last_trained").alias("last"), F.bool_or("retrain").alias("retrain")).alias("g")).scalar()
+    return coded.groupBy(*SERIES).agg(
+        F.count("*").alias("days"), F.bool_and(F.col("_old") == F.col("_new")).alias("same_codes")
+    ).select("*", (differing == 0).alias("same_forecasts"), day_["last"].alias("last_trained"), day_["retrain"].alias("retrain"))
 
 
 def _shape(forecasts: DataFrame, keys) -> DataFrame:
