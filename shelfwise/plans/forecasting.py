@@ -679,7 +679,7 @@ def train_importance(s):
     "M10_importance_facts", "M6 M9 M10 M4",
     _SERIES + """, answer AS (
       SELECT unnest(['category', 'product', 'region']) AS model, true AS sums_to_one, true AS never_negative,
-             true AS trees_in_bounds, true AS judged, d AS last_day, unnest([24, 41, 39]) AS features,
+             true AS trees_in_bounds, true AS judged, d AS last_day, unnest([30, 43, 41]) AS features,
              unnest([1, 3, 2]) AS codes
       FROM newest, (SELECT max(ngay) AS seen FROM series) WHERE seen = d)""",
 )
