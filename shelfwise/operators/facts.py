@@ -346,6 +346,9 @@ def daily_totals(transactions, details) -> DataFrame:
 def sales_kpi(daily: DataFrame, as_of) -> DataFrame:
     """Current month, previous month and year to date, in one pass."""
     d, today = F.col("transaction_date"), day(as_of)
+    # The periods reach back to January or, in January, to the month before.
+    start = F.least(F.trunc(today, "year"), F.add_months(F.trunc(today, "MM"), -1))
+    daily = daily.filter(d >= start)
     month = F.trunc(d, "MM")
     periods = {
         "Current Month": month == F.trunc(today, "MM"),
@@ -420,25 +423,49 @@ def merge_states(*states: DataFrame) -> DataFrame:
     return merged.groupBy(*STATE_KEYS).agg(*[F.sum(c).alias(c) for c in STATE_SUMS])
 
 
-def recent_weeks(facts: DataFrame, n: int = 2, column: str = "transaction_date") -> DataFrame:
-    """the latest `n` year-week pairs that have sales."""
+def _weeks(facts: DataFrame, n: int, column: str) -> DataFrame:
     d = F.col(column)
     return (
-        facts.select(F.year(d).alias("year"), dates.week_monday(d).alias("week"))
-        .distinct().orderBy(F.desc("year"), F.desc("week")).limit(n)
+        facts.groupBy(F.year(d).alias("year"), dates.week_monday(d).alias("week"))
+        .agg(F.min(d).alias("first_day"), F.max(d).alias("last_day"))
+        .orderBy(F.desc("year"), F.desc("week")).limit(n)
     )
 
 
-def last_week_sales(facts: DataFrame) -> DataFrame:
-    """Units per product in the last but one week that has sales (the only one if single)."""
+def week_spans(facts: DataFrame, n: int = 2, column: str = "transaction_date", recent: DataFrame | None = None) -> list:
+    """the latest `n` year-week pairs that have sales, with their first and last day.
+
+    `recent` is the same table of the last days only; if it holds `n` weeks, the whole is
+    not read. Only the `n` rows reach the driver.
+    """
+    found = [] if recent is None else _weeks(recent, n, column).collect()
+    return found if len(found) == n else _weeks(facts, n, column).collect()
+
+
+def recent_weeks(
+    facts: DataFrame, n: int = 2, column: str = "transaction_date", recent: DataFrame | None = None
+) -> DataFrame:
+    """the latest `n` year-week pairs that have sales."""
+    rows = [(r["year"], r["week"]) for r in week_spans(facts, n, column, recent)]
+    return facts.sparkSession.createDataFrame(rows, _weeks(facts, n, column).select("year", "week").schema)
+
+
+def last_week_sales(facts: DataFrame, recent: DataFrame | None = None) -> DataFrame:
+    """Units per product in the last but one week that has sales (the only one if single).
+
+    The weeks are found from dates alone (`week_spans`); the days of the chosen one are
+    literals, so that they reach the scan.
+    """
     d = F.col("transaction_date")
-    weekly = pinned(
-        facts.groupBy("product_code", (F.year(d) * 100 + dates.week_monday(d)).alias("week"))
-        .agg(F.sum("quantity_sold").alias("last_week_sales"))
-    )
-    latest = weekly.select("week").distinct().orderBy(F.desc("week")).limit(2)
-    chosen = latest.agg(F.min("week").alias("w")).scalar()
-    return weekly.filter(F.col("week") == chosen).drop("week")
+    spans = week_spans(facts, 2, recent=recent)
+    if not spans:
+        kept = facts.filter(F.lit(False))
+    else:
+        week = spans[-1]
+        kept = facts.filter(
+            (d >= F.lit(week["first_day"])) & (d <= F.lit(week["last_day"]))
+            & (F.year(d) == week["year"]) & (dates.week_monday(d) == week["week"]))
+    return kept.groupBy("product_code").agg(F.sum("quantity_sold").alias("last_week_sales"))
 
 
 def last_seven_days_sales(facts: DataFrame) -> DataFrame:

@@ -178,22 +178,51 @@ def ema_of(values: Column, span: int) -> Column:
     )
 
 
+#: Values that are averaged one after the other before the running list is cut.
+BLOCK = 64
+
+
 def running_ema(values: Column, span: int) -> Column:
-    """Exponential means of an array up to each of its values, in one pass."""
+    """Exponential means of an array up to each of its values; nulls leave the mean as it is.
+
+    Appending to a list copies it, so one list over all values would cost the square of
+    their number. Here blocks of values are first reduced to what they do to a mean that
+    comes in (a factor and a summand); a short fold over blocks gives the mean before each,
+    and the lists are only as long as a block.
+    """
     a = alpha(span)
 
-    def longer(acc: Column, v: Column) -> Column:
-        before = F.get(acc, F.size(acc) - 1)
-        return F.concat(acc, F.array(F.coalesce(before * (1 - a) + v * a, before, v)))
+    def after(before: Column, v: Column) -> Column:
+        return F.coalesce(before * (1 - a) + v * a, before, v)
+
+    def effect(block: Column) -> Column:
+        line = F.aggregate(
+            block, F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("q")),
+            lambda s, v: F.when(v.isNull(), s).otherwise(
+                F.struct((s["p"] * (1 - a)).alias("p"), (s["q"] * (1 - a) + v * a).alias("q"))))
+        return F.struct(F.aggregate(block, none, after).alias("fresh"), line["p"].alias("p"), line["q"].alias("q"))
+
+    def onward(means: Column, block: Column) -> Column:
+        before = F.element_at(means, -1)
+        return F.concat(means, F.array(F.coalesce(before * block["p"] + block["q"], block["fresh"])))
+
+    def run(block: Column, before: Column) -> Column:
+        longer = F.aggregate(
+            block, F.array(before), lambda acc, v: F.concat(acc, F.array(after(F.element_at(acc, -1), v))))
+        return F.slice(longer, 2, BLOCK)
 
-    return F.aggregate(values, F.array().cast("array<double>"), longer)
+    none = F.lit(None).cast("double")
+    count = F.greatest(F.ceil(F.size(values) / BLOCK), F.lit(1)).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.slice(values, i * BLOCK + 1, F.lit(BLOCK)))
+    means = F.aggregate(F.transform(blocks, effect), F.array(none), onward)
+    return F.flatten(F.zip_with(blocks, F.slice(means, F.lit(1), count), run))
 
 
 def with_ema(df: DataFrame, keys: Sequence[str], spans: Sequence[int] = WINDOWS, leak: bool = True) -> DataFrame:
     """Exponential moving average per span, over all earlier rows of the series.
 
-    One ordered array per series, folded once for each span and exploded again; the days
-    bound its length.
+    One ordered array per series, averaged for each span and exploded again; the days bound
+    its length, and the work grows with it in proportion.
     """
     others = [c for c in df.columns if c not in (*keys, "ngay")]
     rows = F.array_sort(F.collect_list(F.struct("ngay", *others)))

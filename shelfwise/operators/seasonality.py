@@ -39,7 +39,7 @@ def peak_dates(windows: DataFrame) -> DataFrame:
 
 def sales_in_peaks(facts: DataFrame, windows: DataFrame) -> DataFrame:
     """Fact rows inside peak windows; a row may meet several peaks."""
-    return facts.join(F.broadcast(peak_dates(windows)), "transaction_date")
+    return facts.join(peak_dates(windows), "transaction_date")
 
 
 def per_day(facts: DataFrame, as_of, days: int = 365) -> DataFrame:

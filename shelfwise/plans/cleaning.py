@@ -426,6 +426,26 @@ def file_date(s):
     )
 
 
+@query(
+    "A6_dated_files", "A6 A1",
+    """answer AS (
+      SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN last_day(CAST(o_orderdate AS DATE)) ELSE d END AS ngay
+      FROM orders, newest)""",
+)
+def dated_files(s):
+    """Orders written as monthly report files, named by the month's last day or, if still
+    open, by no date; read again and dated by the file they came from."""
+    path = scratch_path(s.spark, "reports")
+    name = F.when(
+        F.col("o_orderstatus") == "F",
+        F.concat(F.lit("BaoCaoBanHang_KV"), F.date_format(F.last_day("o_orderdate"), "ddMMyyyy"), F.lit("-142156.csv")),
+    ).otherwise("BaoCaoBanHang.csv")
+    named = s.table("orders").select(F.col("o_orderkey").alias("id"), name.alias("report"))
+    named.hint("rebalance", "report").write.partitionBy("report").csv(path)
+    read = s.spark.read.schema("id long").option("recursiveFileLookup", True).csv(path)
+    return files.with_file_date(read, s.as_of)
+
+
 @query(
     "K9_import_delta", "K9",
     """early AS (SELECT * FROM tx WHERE ngay < DATE '1998-01-01'),

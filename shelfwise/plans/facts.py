@@ -212,7 +212,7 @@ _WEEK = WEEK.format("transaction_date")
       GROUP BY 1)""",
 )
 def last_week_sales(s):
-    return facts.last_week_sales(_regular(s))
+    return facts.last_week_sales(_regular(s), _regular(s, 60))
 
 
 @query(
@@ -266,7 +266,7 @@ def daily_units(s):
       FROM regular ORDER BY 1 DESC, 2 DESC LIMIT 2)""",
 )
 def recent_weeks(s):
-    return facts.recent_weeks(_regular(s))
+    return facts.recent_weeks(_regular(s), recent=_regular(s, 60))
 
 
 @query(

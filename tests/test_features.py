@@ -171,3 +171,18 @@ def test_tune_picks_the_lowest_metric(history):
     assert len(results) == 2 and best == min(results, key=lambda r: r["mae"])["params"]
     assert set(best) == set(forecast.SPACE) | {"maxIter"}
     assert all(r["params"]["maxDepth"] == 2 and r["params"]["maxIter"] == 2 for r in results)
+
+
+def test_averages_of_a_long_series_with_gaps(spark):
+    """20,000 values with nulls, at the start, alone and over whole blocks, against a loop."""
+    rng = np.random.default_rng(11)
+    values = [None if i < 3 or rng.random() < 0.1 or 500 <= i < 700 else float(v) for i, v in enumerate(rng.integers(0, 90, 20_000))]
+    for some in (values, values[:64], values[:65], values[:1], values[4:5], []):
+        df = spark.createDataFrame([(some,)], "v array<double>")
+        got = df.select(features.running_ema(F.col("v"), 7).alias("e")).first()[0]
+        want, mean = [], None
+        for v in some:
+            mean = v if mean is None else mean if v is None else mean * 0.75 + v * 0.25
+            want.append(mean)
+        assert [g is None for g in got] == [w is None for w in want]
+        assert [g for g in got if g is not None] == pytest.approx([w for w in want if w is not None], rel=1e-12)
