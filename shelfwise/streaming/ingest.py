@@ -3,6 +3,10 @@
 A table fed by a stream is a folder with one `batch=<id>` folder per micro-batch, each
 written in overwrite mode. A batch that is replayed after a failure replaces its own rows,
 so every row counts once.
+
+Beside the rows lies an index of their keys, `_keys/day=<date>/batch=<id>`, in a folder that
+readers of the table pass over. A batch lists and opens the index of its own days only, so
+inserting costs what a batch and its days hold, however much was stored before.
 """
 
 from __future__ import annotations
@@ -62,22 +66,70 @@ def earlier_batches(spark: SparkSession, path: str, batch: int) -> DataFrame | N
     return stored.filter(F.col("batch") < batch)
 
 
+_INDEX = "_keys"
+
+
+def _index_rows(rows: DataFrame, keys: Sequence[str], time: str, batch) -> DataFrame:
+    return rows.select(*keys, F.to_date(time).alias("day"), batch.cast("long").alias("batch"))
+
+
+def _write_index(rows: DataFrame, path: str) -> None:
+    """One folder per day and batch; those of a replayed batch are replaced."""
+    rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "day", "batch").parquet(f"{path}/{_INDEX}")
+
+
+def _folders(spark: SparkSession, names: Sequence[str]) -> list[str]:
+    """Those of the folders that exist."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in names:
+        folder = jvm.org.apache.hadoop.fs.Path(name)
+        if folder.getFileSystem(conf).exists(folder):
+            found.append(name)
+    return found
+
+
+def known_keys(
+    spark: SparkSession, path: str, keys: Sequence[str], days: Sequence, batch: int, schema: StructType
+) -> DataFrame | None:
+    """Keys that batches before this one stored on `days` (a null day holds rows without a
+    time), from the index of these days alone; None where there are none."""
+    names = [f"{path}/{_INDEX}/day={'__HIVE_DEFAULT_PARTITION__' if d is None else d.isoformat()}" for d in days]
+    found = _folders(spark, names)
+    if not found:
+        return None
+    index = spark.read.schema(schema).option("basePath", f"{path}/{_INDEX}").parquet(*found)
+    return index.filter(F.col("batch") < batch).select(*keys)
+
+
+def build_index(spark: SparkSession, path: str, keys: Sequence[str], time: str) -> None:
+    """The index of a table that was written without one."""
+    _write_index(_index_rows(spark.read.parquet(path), keys, time, F.col("batch")), path)
+
+
 def insert_batch(path: str, keys: Sequence[str], time: str | None = None) -> Callable[[DataFrame, int], None]:
     """L2: write the rows of a batch whose key is new, once per key; null keys equal null.
 
-    With `time`, one of the keys, only stored rows within the batch's time range are read.
+    With `time`, one of the keys, only the key index of the batch's days is read, and the
+    batch's new keys are added to it; without, all earlier batches are read.
     """
     def handle(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
         fresh = first_per_key(rows, keys, []).persist()
-        known = earlier_batches(rows.sparkSession, path, batch)
-        if known is not None:
-            if time:
-                low, high = fresh.agg(F.min(time), F.max(time)).first()
-                known = known.filter(F.col(time).isNull() | F.col(time).between(F.lit(low), F.lit(high)))
-            new = join_on(fresh, known.select(*keys), keys, "left_anti")
+        if time:
+            if not _folders(spark, [f"{path}/{_INDEX}"]) and earlier_batches(spark, path, batch) is not None:
+                build_index(spark, path, keys, time)
+            days = [r[0] for r in fresh.select(F.to_date(time)).distinct().collect()]  # the calendar bounds them
+            schema = _index_rows(fresh, keys, time, F.lit(batch)).schema
+            known = known_keys(spark, path, keys, days, batch, schema)
         else:
-            new = fresh
+            known = earlier_batches(spark, path, batch)
+        new = fresh if known is None else join_on(fresh, known.select(*keys), keys, "left_anti")
         new.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        if time:
+            stored = spark.read.schema(new.schema).parquet(f"{path}/batch={batch}")
+            _write_index(_index_rows(stored, keys, time, F.lit(batch)), path)
         fresh.unpersist()
 
     return handle

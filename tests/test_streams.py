@@ -98,3 +98,45 @@ def test_stream_drops_duplicates(spark, tmp_path):
 def test_clean_sales_of_nothing(spark):
     empty = spark.createDataFrame([], schemas.RAW_SALES).withColumnsRenamed(schemas.SALES_NAMES)
     assert clean.clean_sales(empty).count() == 0
+
+
+def _keyed(spark, day, n, first=0):
+    rows = [(datetime(2026, 1, day, 9) if day else None, f"k{i}", i) for i in range(first, first + n)]
+    return spark.createDataFrame(rows, "at timestamp, k string, v int")
+
+
+def test_a_batch_opens_the_index_of_its_days_only(spark, tmp_path):
+    out, keys = str(tmp_path / "t"), ["at", "k"]
+    insert = ingest.insert_batch(out, keys, "at")
+    for batch in range(12):
+        insert(_keyed(spark, batch + 1, 3), batch)
+    insert(_keyed(spark, None, 2), 12)
+    schema = ingest._index_rows(_keyed(spark, 5, 1), keys, "at", F.lit(0)).schema
+    known = ingest.known_keys(spark, out, keys, [date(2026, 1, 5)], 13, schema)
+    opened = known.inputFiles()
+    assert 1 <= len(opened) <= 2 and all("day=2026-01-05" in f for f in opened)
+    assert sorted(r.k for r in known.collect()) == ["k0", "k1", "k2"]
+    assert ingest.known_keys(spark, out, keys, [date(2026, 3, 1)], 13, schema) is None
+    # New and known keys of two days, and rows without a time.
+    insert(_keyed(spark, 5, 5).unionByName(_keyed(spark, 6, 4)).unionByName(_keyed(spark, None, 3)), 13)
+    insert(_keyed(spark, 5, 5), 13 + 1)
+    rows = spark.read.parquet(out)
+    assert "day" not in rows.columns and rows.count() == 12 * 3 + 2 + 2 + 1 + 1
+    assert rows.count() == rows.select(*keys).distinct().count()
+
+
+def test_a_replayed_batch_replaces_its_index(spark, tmp_path):
+    out, keys = str(tmp_path / "t"), ["at", "k"]
+    insert = ingest.insert_batch(out, keys, "at")
+    insert(_keyed(spark, 1, 3), 0)
+    for _ in range(2):
+        insert(_keyed(spark, 1, 5), 1)
+    assert spark.read.parquet(out).groupBy("batch").count().orderBy("batch").collect() == [(0, 3), (1, 2)]
+    assert spark.read.parquet(f"{out}/_keys").count() == 5
+
+
+def test_an_index_is_built_for_a_table_without_one(spark, tmp_path):
+    out, keys = str(tmp_path / "t"), ["at", "k"]
+    _keyed(spark, 1, 3).write.parquet(f"{out}/batch=0")
+    ingest.insert_batch(out, keys, "at")(_keyed(spark, 1, 5), 1)
+    assert spark.read.parquet(out).count() == 5
