@@ -142,13 +142,10 @@ def first_per_key(
 ) -> DataFrame:
     """The first row of each key under `order`, ties broken by the remaining columns.
 
-    An aggregate of the smallest row, so a key with many copies is reduced before the
-    shuffle instead of being sorted in one task.
+    A limit per group: each task keeps one row per key before the shuffle, so of a key with
+    many copies one row per task is left to be compared.
     """
-    rest = [c for c in df.columns if c not in keys]
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in keys]
     wanted = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranked = F.struct(
-        *[c.alias(f"o{i}") for i, c in enumerate(wanted)], F.struct(*rest).alias("row")
-    )
-    best = df.groupBy(*keys).agg(F.min(ranked).alias("_best"))
-    return best.select(*keys, "_best.row.*").select(*df.columns)
+    place = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*wanted, *rest)
+    return df.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") == 1).drop("_place")

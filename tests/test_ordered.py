@@ -137,3 +137,14 @@ def test_rfm_scores_are_quintiles(spark):
     assert [r.r_score for r in got] == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
     assert got[-1].rfm_segment == "Champions" and got[-1].rfm_score == 555
     assert got[0].rfm_segment == "Hibernating"
+
+
+def test_first_per_key_limits_groups_before_the_shuffle(spark):
+    """Of a key with a third of the rows each task hands on one row."""
+    df = spark.range(0, 30_000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("o"), F.lit("wide").alias("v"))
+    got = ordered.first_per_key(df, ["k"], ["o"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Partial" in plan[plan.index("WindowGroupLimit"):]
+    rows = got.collect()
+    assert len(rows) == 20_001 and [r.o for r in rows if r.k == 0] == [0]
