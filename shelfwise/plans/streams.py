@@ -27,7 +27,7 @@ def file_stream(s):
     for _ in range(2):
         rows.write.mode("append").options(header=True, escape='"').csv(f"{base}/in")
     ingest.ingest_sales(
-        spark, f"{base}/in", f"{base}/lines", f"{base}/state", f"{base}/archive", files_per_batch=8
+        spark, f"{base}/in", f"{base}/lines", f"{base}/state", f"{base}/archive", files_per_batch=8, grain="month"
     ).awaitTermination()
     return spark.read.parquet(f"{base}/lines").groupBy("thang", "chi_nhanh").agg(
         F.count("*").alias("n"), F.sum("so_luong").alias("so_luong")

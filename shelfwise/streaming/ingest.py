@@ -6,14 +6,15 @@ so every row counts once.
 
 Beside the rows lies an index of their keys, `_keys/day=<date>/batch=<id>`, in a folder that
 readers of the table pass over. A batch lists and opens the index of its own days only, so
-inserting costs what a batch and its days hold, however much was stored before.
+inserting costs what a batch and its days hold, however much was stored before. Where
+batches span years, an index by month has fewer folders (`grain`); its day is the first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -69,8 +70,14 @@ def earlier_batches(spark: SparkSession, path: str, batch: int) -> DataFrame | N
 _INDEX = "_keys"
 
 
-def _index_rows(rows: DataFrame, keys: Sequence[str], time: str, batch) -> DataFrame:
-    return rows.select(*keys, F.to_date(time).alias("day"), batch.cast("long").alias("batch"))
+def _index_day(time: str, grain: str) -> Column:
+    if grain not in ("day", "month"):
+        raise ValueError(f"no index by {grain}")
+    return F.trunc(time, "month") if grain == "month" else F.to_date(time)
+
+
+def _index_rows(rows: DataFrame, keys: Sequence[str], time: str, batch, grain: str = "day") -> DataFrame:
+    return rows.select(*keys, _index_day(time, grain).alias("day"), batch.cast("long").alias("batch"))
 
 
 def _write_index(rows: DataFrame, path: str) -> None:
@@ -103,12 +110,14 @@ def known_keys(
     return index.filter(F.col("batch") < batch).select(*keys)
 
 
-def build_index(spark: SparkSession, path: str, keys: Sequence[str], time: str) -> None:
+def build_index(spark: SparkSession, path: str, keys: Sequence[str], time: str, grain: str = "day") -> None:
     """The index of a table that was written without one."""
-    _write_index(_index_rows(spark.read.parquet(path), keys, time, F.col("batch")), path)
+    _write_index(_index_rows(spark.read.parquet(path), keys, time, F.col("batch"), grain), path)
 
 
-def insert_batch(path: str, keys: Sequence[str], time: str | None = None) -> Callable[[DataFrame, int], None]:
+def insert_batch(
+    path: str, keys: Sequence[str], time: str | None = None, grain: str = "day"
+) -> Callable[[DataFrame, int], None]:
     """L2: write the rows of a batch whose key is new, once per key; null keys equal null.
 
     With `time`, one of the keys, only the key index of the batch's days is read, and the
@@ -119,9 +128,9 @@ def insert_batch(path: str, keys: Sequence[str], time: str | None = None) -> Cal
         fresh = first_per_key(rows, keys, []).persist()
         if time:
             if not _folders(spark, [f"{path}/{_INDEX}"]) and earlier_batches(spark, path, batch) is not None:
-                build_index(spark, path, keys, time)
-            days = [r[0] for r in fresh.select(F.to_date(time)).distinct().collect()]  # the calendar bounds them
-            schema = _index_rows(fresh, keys, time, F.lit(batch)).schema
+                build_index(spark, path, keys, time, grain)
+            days = [r[0] for r in fresh.select(_index_day(time, grain)).distinct().collect()]  # the calendar bounds them
+            schema = _index_rows(fresh, keys, time, F.lit(batch), grain).schema
             known = known_keys(spark, path, keys, days, batch, schema)
         else:
             known = earlier_batches(spark, path, batch)
@@ -129,7 +138,7 @@ def insert_batch(path: str, keys: Sequence[str], time: str | None = None) -> Cal
         new.write.mode("overwrite").parquet(f"{path}/batch={batch}")
         if time:
             stored = spark.read.schema(new.schema).parquet(f"{path}/batch={batch}")
-            _write_index(_index_rows(stored, keys, time, F.lit(batch)), path)
+            _write_index(_index_rows(stored, keys, time, F.lit(batch), grain), path)
         fresh.unpersist()
 
     return handle
@@ -137,11 +146,11 @@ def insert_batch(path: str, keys: Sequence[str], time: str | None = None) -> Cal
 
 def ingest_sales(
     spark: SparkSession, folder: str, target: str, checkpoint: str, archive: str | None = None,
-    files_per_batch: int = 1000, sep: str = ">>", pattern: str | None = None,
+    files_per_batch: int = 1000, sep: str = ">>", pattern: str | None = None, grain: str = "day",
 ) -> StreamingQuery:
     """L1, L2: raw sales files cleaned and inserted once, file by file or many at a time."""
     raw = drop_folder(spark, folder, archive, files_per_batch=files_per_batch, pattern=pattern)
-    insert = insert_batch(target, clean.LINE_KEY, "thoi_gian")
+    insert = insert_batch(target, clean.LINE_KEY, "thoi_gian", grain)
 
     def handle(rows: DataFrame, batch: int) -> None:
         insert(clean.clean_sales(rename(rows, SALES_NAMES), sep), batch)

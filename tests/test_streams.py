@@ -140,3 +140,12 @@ def test_an_index_is_built_for_a_table_without_one(spark, tmp_path):
     _keyed(spark, 1, 3).write.parquet(f"{out}/batch=0")
     ingest.insert_batch(out, keys, "at")(_keyed(spark, 1, 5), 1)
     assert spark.read.parquet(out).count() == 5
+
+
+def test_an_index_by_month(spark, tmp_path):
+    out, keys = str(tmp_path / "t"), ["at", "k"]
+    insert = ingest.insert_batch(out, keys, "at", "month")
+    insert(_keyed(spark, 1, 3), 0)
+    insert(_keyed(spark, 31, 3).unionByName(_keyed(spark, 1, 4)), 1)
+    assert spark.read.parquet(out).count() == 3 + 3 + 1
+    assert os.listdir(f"{out}/_keys") and all("day=2026-01-01" in f for f in spark.read.parquet(f"{out}/_keys").inputFiles())
