@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import dates, rules
 from shelfwise.functions.text import PROMO_PATTERNS, is_promo
-from shelfwise.operators.ordered import quantiles, running_totals, shared_totals, tile_of, with_tiles
+from shelfwise.operators.ordered import quantiles, running_totals, shared_totals, tile_of, with_scores
 from shelfwise.session import day, pinned
 
 
@@ -104,13 +104,8 @@ def first_label(rules_table) -> Column:
 
 def rfm(base: DataFrame) -> DataFrame:
     """Quintile scores (5 best), combined score, segment and action."""
-    scored = base
-    for name, order in (
-        ("r_score", F.col("recency_days").desc()),
-        ("f_score", F.col("frequency").asc()),
-        ("m_score", F.col("monetary").asc()),
-    ):
-        scored = with_tiles(scored, name, 5, [order, F.col("customer_id").asc()])
+    values = {"r_score": -F.col("recency_days"), "f_score": F.col("frequency"), "m_score": F.col("monetary")}
+    scored = with_scores(base, "customer_id", values, 5)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return (
         scored.withColumns({"r": r, "f": f, "m": m, "rfm_score": r * 100 + f * 10 + m})

@@ -83,22 +83,22 @@ def winsorize(df: DataFrame, column: str, p: float = 0.99) -> tuple[DataFrame, D
 
 
 def dynamic_percentiles(df: DataFrame, columns: Sequence[str], points: Sequence[float] = (0.95, 0.99)) -> DataFrame:
-    """Percentiles, mean, deviation and maximum per column."""
-    named = {f"p{round(p * 100)}": p for p in points}
-    out = None
-    for c in columns:
-        counts = pinned(df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n")))
-        mean = counts.agg(F.try_divide(F.sum(F.col(c) * F.col("n")), F.sum("n"))).scalar()
-        moments = counts.agg(F.struct(
-            F.max(mean).alias("mean"),
-            F.sqrt(F.try_divide(F.sum(F.col("n") * F.pow(F.col(c) - mean, 2.0)), F.sum("n") - 1)).alias("std"),
-            F.max(c).cast("double").alias("max"),
-        )).scalar()
-        row = quantiles(counts, c, named, weight="n").select(
-            F.lit(c).alias("column_name"), *named, *[moments[k].alias(k) for k in ("mean", "std", "max")]
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Percentiles, mean, deviation and maximum per column; nulls for a column without values.
+
+    The columns are melted to (column, value, count), so that all are ordered in one pass.
+    """
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns]
+    counts = pinned(
+        df.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*").filter(F.col("v").isNotNull())
+        .groupBy("column_name", "v").agg(F.count("*").alias("n")))
+    v, n = F.col("v"), F.col("n")
+    means = counts.groupBy("column_name").agg((F.sum(v * n) / F.sum(n)).alias("mean"))
+    moments = counts.join(means, "column_name").groupBy("column_name").agg(
+        F.first("mean").alias("mean"),
+        F.sqrt(F.try_divide(F.sum(n * F.pow(v - F.col("mean"), 2.0)), F.sum(n) - 1)).alias("std"), F.max(v).alias("max"))
+    found = quantiles(counts, "v", {f"p{round(p * 100)}": p for p in points}, ["column_name"], weight="n")
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return names.join(found, "column_name", "left").join(moments, "column_name", "left")
 
 
 def category_series(df: DataFrame, keys: Sequence[str] = ("nhom_hang_cap_1",)) -> DataFrame:

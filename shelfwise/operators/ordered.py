@@ -105,6 +105,22 @@ def with_tiles(df: DataFrame, name: str, tiles: int, order: Sequence[Column]) ->
     return placed.withColumn(name, tile).drop("_pos", "all__pos")
 
 
+def with_scores(df: DataFrame, key: str, values: Mapping[str, Column], tiles: int) -> DataFrame:
+    """NTILE(tiles) of several values at once, each ascending with ties in order of `key`.
+
+    `key` is unique. The values are melted to (name, value, key), placed within their name in
+    one pass over one range partitioning, and joined back once.
+    """
+    df = pinned(df)
+    entries = [F.struct(F.lit(n).alias("_name"), v.cast("double").alias("_value")) for n, v in values.items()]
+    melted = df.select(key, F.explode(F.array(*entries)).alias("_e")).select(key, "_e._name", "_e._value")
+    placed = running_totals(
+        melted, {"_pos": F.lit(1).cast("bigint")}, [F.col("_value").asc(), F.col(key).asc()], ["_name"])
+    tile = tile_of(F.col("_pos"), F.col("all__pos"), tiles)
+    scores = placed.groupBy(key).agg(*[F.max(F.when(F.col("_name") == n, tile)).alias(n) for n in values])
+    return join_on(df, scores, [key])
+
+
 def quantiles(
     df: DataFrame, value: str, points: Mapping[str, float], group: Sequence[str] = (),
     weight: str | None = None,

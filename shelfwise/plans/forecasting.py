@@ -109,8 +109,7 @@ def dynamic_percentiles(s):
     base = facts.daily_base(facts.sales_lines(s.transactions, s.details)).withColumnRenamed(
         "line_count", "transaction_count"
     )
-    fixed = pinned(base.select("quantity_sold", "transaction_count"))
-    return features.dynamic_percentiles(fixed, ["quantity_sold", "transaction_count"])
+    return features.dynamic_percentiles(base, ["quantity_sold", "transaction_count"])
 
 
 @query(

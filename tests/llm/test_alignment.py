@@ -92,17 +92,13 @@ def test_other_encoder_gives_the_same_ids():
         assert list(quick(text)) == filed(text) and b"".join(table[i] for i in quick(text)) == text.encode()
 
 
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_counts_over_the_table(spark, plain, threshold):
-    """With the sums broadcast, and with frequent links split and joined by a shuffle."""
+@pytest.mark.parametrize("few", [alignment.FEW, 10])
+def test_counts_over_the_table(spark, plain, monkeypatch, few):
+    """With the sums broadcast, and with links split and joined by a shuffle."""
+    monkeypatch.setattr(alignment, "FEW", few)
     extra = [(20 + i, "the cat and the dog the end " * (i % 3 + 1), "en", "c", 1) for i in range(12)] + [(50, "x▁y", "en", "c", 3)]
     docs = cases.with_clashes(cases.documents(spark, extra), "links", "n_a", "_row", "count")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
-        got = sorted(map(tuple, alignment.align(docs, FIRST, SECOND).collect()), key=str)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    got = sorted(map(tuple, alignment.align(docs, FIRST, SECOND).collect()), key=str)
     rows = [(r["doc_id"], plain(r["text"])) for r in docs.collect()]
     counts = Counter(link for _, (*_, links) in rows for link in links)
     most: dict = {}

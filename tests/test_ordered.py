@@ -5,6 +5,7 @@ from datetime import date
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfwise.operators import classify, ordered
@@ -148,3 +149,15 @@ def test_first_per_key_limits_groups_before_the_shuffle(spark):
     assert "SortAggregate" not in plan and "Partial" in plan[plan.index("WindowGroupLimit"):]
     rows = got.collect()
     assert len(rows) == 20_001 and [r.o for r in rows if r.k == 0] == [0]
+
+
+def test_scores_of_several_values_in_one_pass(spark):
+    """NTILE of each value as a window gives it, with ties and a null key."""
+    rows = [(None if i == 5 else f"k{i:03}", (i * 7) % 13, float(i % 4)) for i in range(83)]
+    df = spark.createDataFrame(rows, "k string, a int, b double")
+    got = {r.k: (r.x, r.y) for r in ordered.with_scores(df, "k", {"x": -F.col("a"), "y": F.col("b")}, 5).collect()}
+    want = df.select(
+        "k", F.ntile(5).over(Window.orderBy(F.col("a").desc(), "k")).alias("x"),
+        F.ntile(5).over(Window.orderBy("b", "k")).alias("y")).collect()
+    assert got == {r.k: (r.x, r.y) for r in want} and len(got) == 83
+    assert ordered.with_scores(df.limit(0), "k", {"x": F.col("a")}, 5).count() == 0
