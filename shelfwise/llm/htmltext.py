@@ -9,7 +9,8 @@ forms, menus, notices, adverts, comments), count nothing in the scan and are lef
 words of the region that remain are put together as blocks.
 
 Cases: null or empty html gives empty text; a page without tags is all content; unclosed
-tags, comments and scripts end with the page; of equal stretches the first wins; without
+comments, scripts and styles end with the page, other unclosed tags hold nothing; the work
+grows with the page in proportion; of equal stretches the first wins; without
 labelled pages `PRIOR` holds; repeated rows and extra columns stay, a column named like an
 output is replaced.
 """
@@ -27,13 +28,18 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.common import few_by_hash
 
-#: Elements whose content is raw text.
+#: Elements whose content is raw text; where they are not closed, only the first two go on to the end of the page.
 RAW = frozenset("script style noscript template svg iframe textarea select".split())
+ENDLESS = frozenset(("script", "style"))
 #: Elements and names of classes, ids or roles that are not content wherever they stand.
 BOILERPLATE = frozenset("nav header footer aside form dialog menu button head title".split()) | RAW
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|comments?|replies|cookies?|consent|notice|sidebar|"
-    r"menu|nav\w*|breadcrumbs?|share|social|related|newsletter|subscribe|popup|modal|footer)(?:$|[\s_-])", re.I)
+    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|comments?|comment(?:list|form|box|area)|disqus|respond|replies|"
+    r"cookies?|consent|notice|sidebar|menu|nav\w*|breadcrumbs?|share|newsletter|subscribe|popup|modal|footer)(?:$|[\s_-])"
+    # These two also name parts of articles (related work, social history), so they count alone
+    # or before a word for a list of links.
+    r"|(?:^|\s)(?:[\w-]+[_-])?(?:related|social)(?:[_-]?(?:posts?|articles?|stories|links?|content|items?|news|pages?|media|"
+    r"shar(?:e|ing)|icons?|buttons?|bar|box|widget|list))?(?:$|\s)", re.I)
 #: Elements inside a line of text; all others divide blocks.
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd mark q s samp small span strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -43,6 +49,7 @@ SCALES = (0.25, 0.5, 1.0, 2.0, 4.0, 8.0, 16.0)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
@@ -50,6 +57,7 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
     """(kind, name, text): kind `text`, `open` or `close`. Raw elements are one `open` token."""
     out: list[tuple[str, str, str]] = []
     at = 0
+    unclosed: set[str] = set()
     while at < len(page):
         m = _TOKEN.match(page, at)
         at = m.end()
@@ -63,9 +71,14 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
             out.append(("close", name, ""))
         else:
             out.append(("open", name, m[3]))
-            if name in RAW and not m[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+            if name in RAW and name not in unclosed and not m[3].endswith("/"):
+                end = _END[name].search(page, at)
+                if end:
+                    at = end.end()
+                elif name in ENDLESS:
+                    at = len(page)
+                else:
+                    unclosed.add(name)
     return out
 
 
@@ -140,11 +153,23 @@ def _odds(a: float, b: float) -> float:
     return log(a / b)
 
 
+def ends_of(found: list[tuple[str, str, str]]) -> dict[int, int]:
+    """Where each element that is closed ends, matched by name, in one pass."""
+    ends: dict[int, int] = {}
+    open_: dict[str, list[int]] = {}
+    for i, (kind, name, _) in enumerate(found):
+        if kind == "open":
+            open_.setdefault(name, []).append(i)
+        elif kind == "close" and open_.get(name):
+            ends[open_[name].pop()] = i
+    return ends
+
+
 def left_out(found: list[tuple[str, str, str]]) -> list[bool]:
     """Which tokens belong to elements that are never content. An element counts only if it
     is closed; a header inside the article is the article's own."""
     out = [False] * len(found)
-    closed = Counter(name for kind, name, _ in found if kind == "close")
+    ends = ends_of(found)
     article, i = 0, 0
     while i < len(found):
         kind, name, text = found[i]
@@ -156,18 +181,12 @@ def left_out(found: list[tuple[str, str, str]]) -> list[bool]:
             out[i] = True
             i += 1
             continue
-        names = " ".join(next(filter(None, m.groups()), "") for m in _ATTRIBUTE.finditer(text)) if text else ""
-        never = name in BOILERPLATE and not (name == "header" and article > 0) or names and _NAMES.search(names)
-        end, depth = i, 0
-        if never and closed[name]:
-            for j in range(i, len(found)):
-                if found[j][1] == name:
-                    depth += (found[j][0] == "open") - (found[j][0] == "close")
-                    if depth == 0:
-                        end = j
-                        break
-        if end > i:
-            out[i:end + 1] = [True] * (end + 1 - i)
+        end = i
+        if i in ends:
+            names = " ".join(next(filter(None, m.groups()), "") for m in _ATTRIBUTE.finditer(text)) if text else ""
+            if name in BOILERPLATE and not (name == "header" and article > 0) or names and _NAMES.search(names):
+                end = ends[i]
+                out[i:end + 1] = [True] * (end + 1 - i)
         i = end + 1
     return out
 

@@ -113,6 +113,29 @@ def test_broken_pages(html, text):
     assert main_text(html, htmltext.fit([])) == text
 
 
+@pytest.mark.parametrize("name,stays", [
+    ("related-work", True), ("social-history", True), ("commentary", True), ("social", False), ("related-posts", False),
+    ("social-links", False), ("commentlist", False), ("disqus_thread", False), ("respond", False), ("post-comments", False)])
+def test_names_of_parts(weights, name, stays):
+    page = f"<article><p>{'main words ' * 40}</p><div class='{name}'><p>{'part of it ' * 30}</p></div><p>{'more words ' * 40}</p></article>"
+    assert ("part of it" in htmltext.main_text(page, weights)) == stays
+
+
+@pytest.mark.parametrize("tag", ["noscript", "svg", "select", "iframe", "form", "nav"])
+def test_unclosed_elements_hold_nothing(weights, tag):
+    assert htmltext.main_text(f"<p>a &lt; b</p><{tag}><p>and the rest</p>", weights) == "a < b and the rest"
+    assert htmltext.main_text("<p>a</p><script>b <p>c</p>", weights) == "a"
+
+
+@pytest.mark.parametrize("unit", ["<form>", "<svg>", "</form>", "<nav><p>x</p></nav>", "<div class='comments'>", "<article>", "<p>a"])
+def test_very_many_tags_are_linear(weights, unit):
+    import time
+
+    start = time.time()
+    htmltext.main_text(unit * 100_000, weights)
+    assert time.time() - start < 30
+
+
 def test_best_stretch():
     rng = random.Random(5)
     for _ in range(200):
