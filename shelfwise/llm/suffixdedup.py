@@ -207,23 +207,23 @@ def _refined_items(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return run
 
 
-def _mark(items: DataFrame) -> DataFrame:
-    """Blocks whose core is repeated, with `settled` (the span is repeated) and `mixed`
-    (some member of the core's bucket is not settled)."""
-    spans = items.groupBy("core", "span").agg(F.sum("weight").alias("members"))
+def _by_row(items: DataFrame) -> DataFrame:
+    """Per document its blocks whose core is repeated: the settled ones (`cover`, the span is
+    repeated) and those to refine (`open`, some member of the core's bucket is not settled).
+
+    A span with one member needs no join to find that member: it comes along with the count.
+    So the only join is by core, and what goes to a document goes there once.
+    """
+    spans = items.groupBy("core", "span").agg(F.sum("weight").alias("members"), F.min(F.struct("_row", "at")).alias("one"))
     cores = spans.groupBy("core").agg(F.sum("members").alias("all"), F.min("members").alias("fewest")).filter(F.col("all") > 1)
     cores = cores.select("core", (F.col("fewest") < 2).alias("mixed"))
-    alone = spans.filter(F.col("members") < 2).select(F.col("core").alias("_c"), F.col("span").alias("_s"), F.lit(True).alias("_alone"))
-    kept = items.join(cores, "core")
-    return kept.join(alone, (F.col("core") == F.col("_c")) & (F.col("span") == F.col("_s")), "left").select(
-        "_row", "at", "mixed", F.col("_alone").isNull().alias("settled"))
-
-
-def _by_row(marked: DataFrame) -> DataFrame:
-    """Per document the settled blocks (`cover`) and those to refine (`open`)."""
-    return marked.groupBy("_row").agg(
-        F.collect_list(F.when(F.col("settled"), F.col("at"))).alias("cover"),
+    single = spans.filter(F.col("members") < 2).select("one._row", "one.at", F.lit(None).cast("boolean").alias("mixed"))
+    kept = items.select("core", "_row", "at").join(cores, "core").select("_row", "at", "mixed")
+    lists = kept.unionByName(single).groupBy("_row").agg(
+        F.collect_list(F.when(F.col("mixed").isNotNull(), F.col("at"))).alias("known"),
+        F.collect_list(F.when(F.col("mixed").isNull(), F.col("at"))).alias("single"),
         F.collect_list(F.when(F.col("mixed"), F.col("at"))).alias("open"))
+    return lists.filter(F.size("known") > 0).select("_row", F.array_except("known", "single").alias("cover"), "open")
 
 
 def _spans(raw_len: int, cover: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -301,7 +301,7 @@ def _cut(docs: DataFrame, text: str, with_text: bool) -> DataFrame:
     blocks = stored(
         raw.mapInArrow(_first_items, _ITEM).join(repeated, "core").drop("weight")
         .join(firsts.withColumnRenamed("copies", "weight"), "_row"), "blocks")
-    lists = stored(_by_row(_mark(blocks)), "lists")
+    lists = stored(_by_row(blocks), "lists")
     state = keyed.join(lists, "_row", "left").join(firsts, "_row", "left").select(
         "_row", "raw", "keep", F.coalesce("copies", F.lit(2)).alias("weight"), F.col("copies").isNotNull().alias("first"), "cover", "open")
     results = stored(_finish(state, False, with_text), "cut")
@@ -310,9 +310,9 @@ def _cut(docs: DataFrame, text: str, with_text: bool) -> DataFrame:
     covers = [pending.select("_row", "cover")]
     now = pending
     for size in LEVELS:
-        # Read three times, so kept on the executors' disks; a lost one is made again.
+        # Read twice, so kept on the executors' disks; a lost one is made again.
         items = now.select("_row", "raw", "weight", "open").mapInArrow(_refined_items(size), _ITEM).persist(StorageLevel.DISK_ONLY)
-        marked = stored(_by_row(_mark(items)), f"blocks-{size}")
+        marked = stored(_by_row(items), f"blocks-{size}")
         items.unpersist()
         covers.append(marked.select("_row", "cover"))
         now = texts.join(marked.filter(F.size("open") > 0).select("_row", "open"), "_row")
