@@ -19,13 +19,20 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: documents whose language is rejected go; the others get the language found."""
+    """Operator 5: documents whose language is rejected go; the others get the language found.
+
+    Null, empty and letterless texts are in no language and go too; repeated rows are judged
+    alike; without a labelled document all go.
+    """
     known = langid.identify(docs, langid.fit(docs))
     return known.filter(~F.col("rejected")).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: one document of each group stays."""
+    """Operator 2: one document of each group stays, the one with the smallest id.
+
+    Null and empty texts are one group, with fingerprint zero; of repeated rows one stays.
+    """
     return neardup.keep_one(docs).select(*COLUMNS)
 
 
@@ -36,12 +43,19 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: each document as often as the mix takes it."""
+    """Operator 3: each document as often as the mix takes it.
+
+    Documents without words are never taken; a null source is a source; of equal rows any are
+    taken, as they are interchangeable; the mix depends on the rows alone, so reruns agree.
+    """
     return mixing.repeat_rows(mixing.mix(docs)).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: pieces of sequences."""
+    """Operator 9: pieces of sequences.
+
+    A null or empty text is its separator; copies that the mix took are packed each for itself.
+    """
     limits = packing.Limits(segments=packing.Limits.tokens)
     pieces = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), limits, separator=0)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
