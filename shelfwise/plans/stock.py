@@ -466,9 +466,7 @@ def active_candidates(s):
     )
 
 
-@query(
-    "J10_purchase_order", "J10 F5 A15",
-    f"""{ORDERS}, listed AS (
+_ORDER_SQL = f"""{ORDERS}, listed AS (
       SELECT n.*, optimal_stock, quantity_sold, round(revenue, 2) AS revenue, min_stock, safety_stock, ma_vach, ten_hang,
              CASE WHEN gia_von_mac_dinh > 0 THEN (gia_ban_mac_dinh - gia_von_mac_dinh) / gia_von_mac_dinh * 100 ELSE 0 END AS margin
       FROM needs n LEFT JOIN optimal o ON o.product_code = ma_hang LEFT JOIN safety s ON s.product_code = ma_hang
@@ -485,14 +483,19 @@ def active_candidates(s):
              CASE WHEN margin > 20 AND revenue >= cut THEN 'HIGH MARGIN + HIGH VALUE' WHEN margin > 20 THEN 'HIGH MARGIN'
                   WHEN revenue >= cut THEN 'HIGH VALUE' ELSE '' END AS ghi_chu,
              CAST(row_number() OVER (ORDER BY suggested_order DESC, quantity_sold DESC, revenue DESC, ma_hang) AS INTEGER) AS stt
-      FROM marked)""",
-    two="doanh_thu_4tuan",
-)
+      FROM marked)"""
+
+
+@query("J10_purchase_order", "J10 F5", _ORDER_SQL, two="doanh_thu_4tuan")
 def purchase_order(s):
-    """The purchase order, written as CSV and read back."""
     o = Orders(s)
-    made = inventory.purchase_order(o.needs, o.optimal, o.safety, s.products)
-    path = scratch_path(s.spark, "order")
+    return inventory.purchase_order(o.needs, o.optimal, o.safety, s.products)
+
+
+@query("A15_order_csv", "A15", _ORDER_SQL, two="doanh_thu_4tuan")
+def order_csv(s):
+    """The purchase order, written as CSV and read back."""
+    made, path = purchase_order(s), scratch_path(s.spark, "order")
     files.write_purchase_order(made, path)
     return files.read_purchase_order(s.spark, path, made.schema)
 
