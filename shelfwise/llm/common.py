@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,12 +35,36 @@ def shared_folder(spark: SparkSession) -> str:
     return shared_dir(spark).rstrip("/")
 
 
+#: Bytes of a batch of rows that goes to a Python worker while a step is stored.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches for Python workers are cut by bytes, as texts may be long; the session's own
+    bound holds again afterwards, and holds throughout where it is smaller."""
+    before = spark.conf.get(_BATCH, None)
+    if before is not None and before.rstrip("b").isdigit() and int(before.rstrip("b")) <= BATCH_BYTES:
+        yield
+        return
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH)
+        else:
+            spark.conf.set(_BATCH, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet into the shared folder and read it back: cuts the lineage,
     keeps the rows fixed, and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     tidy(spark)
     return spark.read.schema(df.schema).parquet(path)
 
