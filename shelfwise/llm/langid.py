@@ -17,8 +17,6 @@ order; repeated rows and extra columns stay, columns named like an output are re
 from __future__ import annotations
 
 import re
-import sys
-import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,14 +34,21 @@ CHUNK = 256
 #: Classes of length: 2**b distinct n-grams and more.
 CLASSES = 13
 
-#: Numerals that are no decimal digits, such as one half or Roman eight: they are no letters either.
-_numerals = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Nl", "No"))
-_not_letters = re.compile(rf"[\W\d_{_numerals}]+")
+_not_letters = re.compile(r"[\W\d_]+")
+
+
+def words_of(text: str) -> str:
+    """The letters of a text, with one space where others stood."""
+    words = _not_letters.sub(" ", text).strip()
+    if words and not words.replace(" ", "").isalpha():
+        # Numerals that are no decimal digits, such as one half or Roman eight, are no letters.
+        words = " ".join("".join(c if c.isalpha() else " " for c in words).split())
+    return words
 
 
 def grams(text: str) -> np.ndarray | None:
     """Counts of hashed n-grams; None without a letter."""
-    words = _not_letters.sub(" ", text).strip()
+    words = words_of(text)
     if not words:
         return None
     b = np.frombuffer(f" {words.lower()} ".encode(), dtype=np.uint8).astype(np.uint32)
@@ -210,6 +215,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     "lang": lang, "score": np.where(known, score, 0.0), "rejected": ~known | (score < bound)}))
             yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"lang": [], "score": [], "rejected": []})
 
+    # A filter on the result must not make Spark find it once for itself and once for the rows
+    # that stay: twice the work, and twice the Python workers in memory.
+    nearest = nearest.asNondeterministic()
     return (
         docs.withColumn("_found", nearest(text_of(text)))
         .withColumns({"lang_pred": F.col("_found.lang"), "score": F.col("_found.score"), "rejected": F.col("_found.rejected")})
