@@ -37,7 +37,7 @@ from shelfwise.llm.common import WORD, stored, text_of, with_row
 #: Nearer to 0 or 1 than this is decided.
 EPS = 1e-9
 #: Documents of a group in the first flight, about; and groups that fly together in the next.
-GROUP = 20_000
+GROUP = 4_000
 TOGETHER = 1024
 #: Documents of a group, evenly spread over the order of sizes, that stay out of its flight
 #: and land together with the two that a flight leaves.
