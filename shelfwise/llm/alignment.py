@@ -7,9 +7,9 @@ together, so each slice expands to one link.
 
 Counting links over all texts takes two steps in Spark. Each text gives its distinct links
 with their number, which are summed by link with a map side. The texts' links are then
-joined with these sums and the best sum of each second id, and added up per text. No text's
-list is ever as long as its text, a frequent link is one row per text, and where Spark does
-not find the sums small enough to broadcast, it is split over `SALTS` parts.
+joined with these sums and the best sum of each second id, and added up per text. A frequent
+link is one row per text. Up to `FEW` distinct links, which are counted first, the sums are
+broadcast; more are shuffled, and every link is then split over `SALTS` parts.
 
 Cases: a null or empty text, and one that the second tokenizer does not give back byte for
 byte (it holds U+2581), has no tokens: zeros and an empty hash; special strings are plain
@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 from shelfwise.llm.bpe import byte_symbols
 from shelfwise.llm.common import stored, text_of, with_row
 
-#: Parts of a frequent link where the sums are joined by a shuffle.
+#: Distinct links, of some 30 bytes each, whose sums are broadcast.
+FEW = 500_000
+#: Parts of a link where the sums are joined by a shuffle.
 SALTS = 16
 #: Texts or characters after which a batch is handed back.
 _TEXTS, _CHARS = 500, 1_000_000
@@ -210,11 +212,13 @@ def align(docs: DataFrame, first_path: str, second_path: str, key: str = "doc_id
     found = stored(aligned(docs, first_path, second_path, key=key), "aligned")
     sums = stored(counted(found), "links-counted")
     links = found.select("_row", F.explode("links").alias("x")).select("_row", "x.link", "x.n")
-    salted = links.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int"))
-    parts = sums.withColumn("_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    if sums.count() <= FEW:
+        joined = links.join(F.broadcast(sums), "link")
+    else:
+        salted = links.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int"))
+        joined = salted.join(sums.withColumn("_salt", F.explode(F.array(*map(F.lit, range(SALTS))))), ["link", "_salt"])
     per_text = (
-        salted.join(parts, ["link", "_salt"])
-        .groupBy("_row").agg(
+        joined.groupBy("_row").agg(
             F.sum("n").alias("n_links"), F.sum(F.when(F.col("best"), F.col("n")).otherwise(0)).alias("n_best"),
             F.sum(F.col("n") * F.col("count")).alias("count_sum")))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
