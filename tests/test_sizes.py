@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from shelfwise.plans import catalog
 from shelfwise.session import pinned, tune
 
 
@@ -9,3 +10,17 @@ def test_more_rows_make_more_tasks(spark):
     """64 MB that do not compress: more reducers than spark.sql.shuffle.partitions (4), each of some 8 MB."""
     rows = tune(spark).range(4_000_000).select(F.rand(1).alias("k"))
     assert pinned(rows.groupBy("k").count()).rdd.getNumPartitions() > 4
+
+
+def test_clean_lines_are_not_shuffled_by_their_key(spark, data):
+    """The last join places raw lines by receipt, so the wide rows go to the deduplication as they lie."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = catalog.queries()["B1_clean_sales"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.splitlines()
+    window = next(i for i, line in enumerate(lines) if "Window [" in line)
+    join = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert window < join and not any("Exchange" in line for line in lines[:join])
