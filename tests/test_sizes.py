@@ -1,9 +1,11 @@
 """What keeps a task's share, and what is written, in bounds as the input grows."""
 
+import glob
+
 from pyspark.sql import functions as F
 
 from shelfwise.plans import catalog
-from shelfwise.session import pinned, tune
+from shelfwise.session import pinned, shared_dir, tune
 
 
 def test_more_rows_make_more_tasks(spark):
@@ -24,3 +26,11 @@ def test_clean_lines_are_not_shuffled_by_their_key(spark, data):
     window = next(i for i, line in enumerate(lines) if "Window [" in line)
     join = next(i for i, line in enumerate(lines) if "Join" in line)
     assert window < join and not any("Exchange" in line for line in lines[:join])
+
+
+def test_raw_files_are_written_compressed(spark, data):
+    known = set(glob.glob(f"{shared_dir(spark)}/raw-sales-*"))
+    catalog.queries()["A1_sales_csv_round_trip"](spark, data)
+    made = set(glob.glob(f"{shared_dir(spark)}/raw-sales-*")) - known
+    files = [f for path in made for f in glob.glob(f"{path}/part-*")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
