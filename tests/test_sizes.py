@@ -1,9 +1,11 @@
 """What keeps a task's share, and what is written, in bounds as the input grows."""
 
 import glob
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
+from shelfwise.operators import forecast
 from shelfwise.plans import catalog
 from shelfwise.session import pinned, shared_dir, tune
 
@@ -34,3 +36,10 @@ def test_raw_files_are_written_compressed(spark, data):
     made = set(glob.glob(f"{shared_dir(spark)}/raw-sales-*")) - known
     files = [f for path in made for f in glob.glob(f"{path}/part-*")]
     assert files and all(f.endswith(".csv.gz") for f in files)
+
+
+def test_few_rows_are_fitted_in_one_partition(spark):
+    rows = [(date(2024, 1, 1) + timedelta(days=i), float(i % 3), 5.0 + i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "ngay date, x double, daily_quantity double").repartition(20)
+    made = forecast._vectors(df, ["x"], "daily_quantity")
+    assert made.rdd.getNumPartitions() == 1 and made.count() == 60
