@@ -94,12 +94,17 @@ def inventory_facts(stg: DataFrame) -> DataFrame:
 def demand_stats(movement: DataFrame, as_of, days: int = 90, approx: bool = False) -> DataFrame:
     """Daily demand statistics per product.
 
-    A product has one row per day here, at most `days` + 1, so its percentile is small.
+    A product has one row per day here, at most `days` + 1, so its list of values is small.
+    Mean and deviation are folded over the ordered values, so no order of rows changes them; the
+    deviation goes by `n * x - total`, which is exact for whole units, and so is its ratio to the mean.
     """
     p95 = F.percentile_approx("units_sold", 0.95) if approx else F.percentile("units_sold", 0.95)
-    return last_days(movement, as_of, days).groupBy("product_code").agg(
-        F.avg("units_sold").alias("avg_daily_sales"),
-        F.stddev_pop("units_sold").alias("std_daily_sales"),
+    n = F.size("_units").cast("double")
+    total = F.aggregate("_units", F.lit(0.0), lambda a, v: a + v)
+    squares = F.aggregate(
+        "_units", F.lit(0.0), lambda a, v: a + (n * v - F.col("_total")) * (n * v - F.col("_total")))
+    per = last_days(movement, as_of, days).groupBy("product_code").agg(
+        F.array_sort(F.collect_list(F.col("units_sold").cast("double"))).alias("_units"),
         F.max("units_sold").alias("max_daily_sales"),
         p95.cast("double").alias("p95_daily_sales"),
         F.avg("revenue").alias("avg_daily_revenue"),
@@ -107,7 +112,12 @@ def demand_stats(movement: DataFrame, as_of, days: int = 90, approx: bool = Fals
         F.count("*").alias("selling_days"),
         F.min("transaction_date").alias("first_sale"),
         F.max("transaction_date").alias("last_sale"),
-        F.try_divide(F.sum("units_sold"), F.count("*")).alias("sales_velocity"),
+    ).withColumn("_total", F.when(F.size("_units") > 0, total))
+    return per.select(
+        "product_code", F.try_divide("_total", n).alias("avg_daily_sales"),
+        F.try_divide(F.sqrt(F.try_divide(squares, n)), n).alias("std_daily_sales"),
+        "max_daily_sales", "p95_daily_sales", "avg_daily_revenue", "total_revenue", "selling_days",
+        "first_sale", "last_sale", F.try_divide("_total", "selling_days").alias("sales_velocity"),
     )
 
 
