@@ -12,10 +12,10 @@ from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import is_promo
+from shelfwise.functions.text import PROMO_PATTERNS, is_promo
 from shelfwise.operators.calendar import with_calendar
 from shelfwise.operators.clean import fill_dims
-from shelfwise.operators.facts import valid_sales
+from shelfwise.operators.facts import daily_base, sales_lines, valid_sales
 from shelfwise.operators.ordered import quantiles
 from shelfwise.operators.seasonality import with_seasonal
 from shelfwise.session import pinned
@@ -63,6 +63,26 @@ def training_history(
     return with_seasonal(kept, factors)
 
 
+def category_sales(
+    transactions: DataFrame, details: DataFrame, products: DataFrame, branches: DataFrame,
+    patterns: Sequence[str] = PROMO_PATTERNS,
+) -> DataFrame:
+    """Units and revenue per date, branch and category, the sums of `training_history` of regular sales.
+
+    Category and promotion come by one join, in which a product has a row for each pair of its
+    catalog rows, as two joins would give. Rows are summed before they meet branches, so those
+    meet days x branches x categories at most.
+    """
+    base = valid_sales(daily_base(sales_lines(transactions, details)), "quantity_sold", "gross_revenue")
+    named = products.select(F.col("ma_hang").alias("product_code"), F.col("cap_1").alias("nhom_hang_cap_1"))
+    pairs = products.select(F.col("ma_hang").alias("product_code"), "cap_1").join(named, "product_code")
+    sold = base.join(pairs, "product_code", "left").filter(~is_promo(F.col("cap_1"), patterns))
+    summed = fill_dims(sold).groupBy(
+        F.col("transaction_date").alias("ngay"), F.col("branch_code").alias("chi_nhanh"), "nhom_hang_cap_1",
+    ).agg(F.sum("quantity_sold").alias("daily_quantity"), F.sum("gross_revenue").alias("daily_revenue"))
+    return summed.join(branches.select(F.col("ma_chi_nhanh").alias("chi_nhanh")), "chi_nhanh", "left")
+
+
 def winsorize(df: DataFrame, column: str, p: float = 0.99) -> tuple[DataFrame, DataFrame]:
     """M2: values above the p-quantile become it; also a one-row table of what changed.
 
@@ -110,6 +130,18 @@ def category_series(df: DataFrame, keys: Sequence[str] = ("nhom_hang_cap_1",)) -
     )
 
 
+def category_days(sold: DataFrame, keys: Sequence[str], factors: DataFrame | None = None) -> DataFrame:
+    """D18 from `category_sales`: a day has one month and so one factor, which is attached to the sums."""
+    summed = sold.groupBy("ngay", *keys).agg(
+        F.sum("daily_quantity").alias("daily_quantity"), F.sum("daily_revenue").alias("daily_revenue"))
+    if factors is None:
+        named = summed.withColumns({n: F.lit(v) for n, v in NO_SEASON.items()})
+    else:
+        named = with_seasonal(summed, factors)
+    return named.select(
+        "ngay", *keys, "daily_quantity", "daily_revenue", "seasonal_factor", "revenue_factor", "quantity_factor", "is_peak_day")
+
+
 def category_stats(df: DataFrame, key: str = "nhom_hang_cap_1", value: str = "daily_quantity") -> DataFrame:
     """Mean, median and deviation of daily quantity per category."""
     counts = pinned(

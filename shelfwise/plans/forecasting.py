@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import rules
 from shelfwise.operators import evaluate, facts, features, forecast, inventory, quality, seasonality
-from shelfwise.plans.query import query
+from shelfwise.plans.query import PROMO, query
 from shelfwise.sources import files
 from shelfwise.plans.stock import LATEST, ORDERS, PEAKS, Orders, regular, seasonal_factors_of
 from shelfwise.session import pinned, scratch_path, shared_dir
@@ -22,11 +22,16 @@ def history(s, factors: DataFrame | None = None, days: int = 0) -> DataFrame:
     return features.training_history(regular(s, days), s.products, factors=factors)
 
 
-def series(s, factors: DataFrame | None = None) -> DataFrame:
+def category_sales(s) -> DataFrame:
+    """Daily quantity and revenue per branch and category."""
+    return features.category_sales(s.transactions, s.details, s.products, s.branches, PROMO)
+
+
+def series(s, factors: DataFrame | None = None, sold: DataFrame | None = None) -> DataFrame:
     """Daily quantity and revenue per region and category: dense enough for lags."""
     city = s.branches.select(F.col("ma_chi_nhanh").alias("chi_nhanh"), "city")
-    named = history(s, factors).join(city, "chi_nhanh")
-    made = features.category_series(named, SERIES)
+    named = (category_sales(s) if sold is None else sold).join(city, "chi_nhanh")
+    made = features.category_days(named, SERIES, factors)
     return made.withColumn("daily_revenue", F.round("daily_revenue", 2))
 
 
@@ -595,6 +600,27 @@ MODELS = {
 SEARCHED = "region"
 
 
+class Sold:
+    """What the models of one `Sources` share, written once: month factors, sales per branch and category."""
+
+    def __init__(self, s):
+        self.s = s
+
+    @classmethod
+    def of(cls, s) -> Sold:
+        if not hasattr(s, "_sold"):
+            s._sold = cls(s)
+        return s._sold
+
+    @cached_property
+    def latest(self) -> DataFrame:
+        return pinned(seasonality.latest_factors(seasonal_factors_of(self.s)))
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return pinned(category_sales(self.s))
+
+
 class Learned:
     """One of `MODELS`: its series, and the model trained on them.
 
@@ -607,16 +633,18 @@ class Learned:
         self.s, self.kind = s, kind
         self.keys, self.coded, self.days, self.shape = MODELS[kind]
 
-    @cached_property
+    @property
     def latest(self) -> DataFrame:
-        return pinned(seasonality.latest_factors(seasonal_factors_of(self.s)))
+        return Sold.of(self.s).latest
 
     @cached_property
     def rows(self) -> DataFrame:
+        if self.kind == "product":
+            return pinned(history(self.s, self.latest))
+        sold = Sold.of(self.s).categories
         if self.kind == "region":
-            return pinned(series(self.s, self.latest))
-        sold = history(self.s, self.latest)
-        return pinned(sold if self.kind == "product" else features.category_series(sold))
+            return pinned(series(self.s, self.latest, sold))
+        return pinned(features.category_days(sold, self.keys, self.latest))
 
     @cached_property
     def encoder(self):
