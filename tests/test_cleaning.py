@@ -196,3 +196,24 @@ def test_sales_with_products_by_either_key(spark):
     pairs = sorted((r.sale_id, str(r.product_brand)) for r in got)
     assert pairs == [(1, "n"), (1, "x"), (2, "n"), (2, "x"), (2, "y"), (3, "None"), (4, "n"), (4, "x"), (5, "None")]
     assert all(r.co_trong_products == (r.sale_id not in (3, 5)) for r in got)
+
+
+@pytest.mark.parametrize("place,column,write", [
+    (files.by_branch, "chi_nhanh", files.write_by_branch), (files.by_month, "thang", files.write_lines)])
+def test_lines_are_laid_out_while_they_are_narrow(spark, tmp_path, place, column, write):
+    """What derives from other columns is added after the shuffle for the write, not carried through it."""
+    names = [n for _, n, _ in schemas.SALES_COLUMNS]
+    rows = [(f"{i % 3 + 1:02d}/0{i % 2 + 1}/2026 10:00:00" if i % 5 else "bad", f"T{i % 7}", f"B{i % 2}", f"H{i % 3}", "V", "N", None,
+             "A >> B" if i % 2 else None, i % 4, *[None] * 7) for i in range(60)]
+    raw = spark.createDataFrame(rows, T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, schemas.RAW_SALES.fields)]))
+    placed, plain = clean.clean_sales(raw, place=place), clean.clean_sales(raw)
+    below = placed._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")[1]
+    assert "doanh_thu" in below and not any(c in below for c in ("loi_nhuan_sp", "cap_1", "tuan", "_is_high_value"))
+    assert sorted(placed.columns) == sorted(plain.columns)
+    want = sorted(map(str, plain.select(sorted(plain.columns)).collect()))
+    assert sorted(map(str, placed.select(sorted(plain.columns)).collect())) == want
+    write(placed, str(tmp_path / "a"), placed=True)
+    write(plain, str(tmp_path / "b"))
+    read = [spark.read.schema(plain.schema).parquet(str(tmp_path / d)).select(sorted(plain.columns)) for d in "ab"]
+    assert [sorted(map(str, r.collect())) for r in read] == [want, want]
+    assert any(f.suffix == ".parquet" and "zstd" in f.name for f in (tmp_path / "a").rglob("*"))
