@@ -6,6 +6,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from shelfwise.operators import clean
+from shelfwise.session import tune
 from shelfwise.sources import schemas
 from shelfwise.streaming import ingest
 
@@ -149,3 +150,18 @@ def test_an_index_by_month(spark, tmp_path):
     insert(_keyed(spark, 31, 3).unionByName(_keyed(spark, 1, 4)), 1)
     assert spark.read.parquet(out).count() == 3 + 3 + 1
     assert os.listdir(f"{out}/_keys") and all("day=2026-01-01" in f for f in spark.read.parquet(f"{out}/_keys").inputFiles())
+
+
+def test_a_batch_runs_in_tasks_by_its_size(spark, tmp_path):
+    """A shuffle is cut into 1,000 pieces at first; those of a small batch are joined in every pass over it."""
+    tune(spark)
+    out, tracker = str(tmp_path / "t"), spark.sparkContext.statusTracker()
+    insert = ingest.insert_batch(out, ["at", "k"], "at")
+    insert(_keyed(spark, 1, 3), 0)
+    spark.sparkContext.setJobGroup("second-batch", "insert")
+    insert(_keyed(spark, 1, 5).repartition(4), 1)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = {i for job in tracker.getJobIdsForGroup("second-batch") for i in tracker.getJobInfo(job).stageIds}
+    tasks = [info.numTasks for info in map(tracker.getStageInfo, stages) if info]
+    assert tasks and max(tasks) < 100
+    assert spark.read.parquet(out).count() == 5
